@@ -72,9 +72,9 @@ class Rolling:
         self.grow(1 << 10)
 
     def grow(self, n: int) -> None:
-        with np.errstate(over="ignore"):
-            self.up = np.cumprod(np.concatenate([[1], np.full(n, self.base, np.uint64)]).astype(np.uint64))
-            self.down = np.cumprod(np.concatenate([[1], np.full(n, self.inverse, np.uint64)]).astype(np.uint64))
+        up, down = np.full(n + 1, self.base, np.uint64), np.full(n + 1, self.inverse, np.uint64)
+        up[0] = down[0] = 1
+        self.up, self.down = np.cumprod(up), np.cumprod(down)
 
     def prefix(self, x: np.ndarray) -> np.ndarray:
         if len(x) >= len(self.up):

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lorgnette.llm import bpe, chat, langid, line_dedup
+from lorgnette.llm import bpe, chat, jaccard, langid, line_dedup, substring
 from lorgnette.llm.common import table
 
 QUERIES = {
     "op4_language_id": lambda spark, d: langid.identify(table(spark, d, "documents")),
+    "op5_ngram_jaccard_join": lambda spark, d: jaccard.near_duplicate_groups(table(spark, d, "documents")),
     "op7_line_dedup": lambda spark, d: line_dedup.dedup_lines(table(spark, d, "documents")),
+    "op8_substring_dedup": lambda spark, d: substring.repeated_spans(table(spark, d, "documents")),
     "op9_chat_formatting": lambda spark, d: chat.format_chats(table(spark, d, "conversations")),
     "op10_bpe_encoding": lambda spark, d: bpe.encode_documents(table(spark, d, "documents")),
 }
