@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lorgnette.llm import bpe, chat, jaccard, langid, line_dedup, quality, substring
+from lorgnette.llm import bpe, chat, decontaminate, jaccard, langid, line_dedup, quality, substring
 from lorgnette.llm.common import table
 
 QUERIES = {
     "op2_quality_rules": lambda spark, d: quality.accepted(table(spark, d, "documents")),
     "op4_language_id": lambda spark, d: langid.identify(table(spark, d, "documents")),
     "op5_ngram_jaccard_join": lambda spark, d: jaccard.near_duplicate_groups(table(spark, d, "documents")),
+    "op6_benchmark_decontamination": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op7_line_dedup": lambda spark, d: line_dedup.dedup_lines(table(spark, d, "documents")),
     "op8_substring_dedup": lambda spark, d: substring.repeated_spans(table(spark, d, "documents")),
     "op9_chat_formatting": lambda spark, d: chat.format_chats(table(spark, d, "conversations")),
