@@ -19,14 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder of ``spark.checkpoint.dir`` and read again, so that a lost executor costs one read.
-
-    The setting is read from the session; where it is unset, as in tests, a local folder is set.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; where the setting is unset, as in tests, a local one is made and set."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints"))
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints"))
+    return named or sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that a lost executor costs one read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lorgnette.llm import bpe, chat, decontaminate, jaccard, langid, line_dedup, quality, substring
+from lorgnette.llm import bpe, chat, decontaminate, html, jaccard, langid, line_dedup, quality, secrets, substring
 from lorgnette.llm.common import table
 
 QUERIES = {
+    "op1_secret_scan": lambda spark, d: secrets.scan(table(spark, d, "documents")),
     "op2_quality_rules": lambda spark, d: quality.accepted(table(spark, d, "documents")),
+    "op3_html_extraction": lambda spark, d: html.extract(table(spark, d, "pages")),
     "op4_language_id": lambda spark, d: langid.identify(table(spark, d, "documents")),
     "op5_ngram_jaccard_join": lambda spark, d: jaccard.near_duplicate_groups(table(spark, d, "documents")),
     "op6_benchmark_decontamination": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
