@@ -18,6 +18,7 @@ Only ``doc_id`` and ``text`` (and ``item_id`` and ``text`` of the benchmark) are
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -84,18 +85,43 @@ def batch_passages(batch: pa.RecordBatch):
     return row, np.concatenate([t, t[p > 0]]), names & 0xFFFFFFFF, names >> 32
 
 
-def add_rows(target: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
-    """``target[at] += values`` with repeated ``at``."""
-    if len(at):
-        order = np.argsort(at, kind="stable")
-        at = at[order]
-        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        target[at[first]] += np.add.reduceat(values[order], first, axis=0)
+def summed(at: np.ndarray, source: np.ndarray, take: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of the sorted ``at``, and for each the sum of its ``source[take] * w``."""
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    count = np.diff(np.append(first, len(at)))
+    # Layer by layer, the k-th of every group at once, with the groups in falling order of size.
+    order = np.argsort(-count, kind="stable")
+    begin, w = first[order], w.astype(source.dtype)[:, None]
+    alive = np.searchsorted(-count[order], -np.arange(int(count.max())), "left")
+    out = source[take[begin]] * w[begin]
+    for k, m in enumerate(alive.tolist()):
+        if k:
+            i = begin[:m] + k
+            out[:m] += source[take[i]] * w[i]
+    return at[begin], out
 
 
 def projected(row, term, w, matrix: np.ndarray, n_rows: int) -> np.ndarray:
+    """Sparse rows, in order, times ``matrix``."""
     out = np.zeros((n_rows, matrix.shape[1]), np.float32)
-    add_rows(out, row, matrix[term] * w[:, None].astype(np.float32))
+    if len(row):
+        at, values = summed(row, matrix, term, w)
+        out[at] = values
+    return out
+
+
+def surroundings(batch: pa.RecordBatch, first: np.ndarray, doc: np.ndarray, n_terms: int) -> np.ndarray:
+    """A table of which terms stand in each passage or a stride before or after it; one column more is empty."""
+    pos, term = batch.column("pos"), batch.column("term")
+    own = np.repeat(np.arange(batch.num_rows), np.diff(pos.offsets.to_numpy()))
+    block, term = pos.flatten().to_numpy() // STRIDE, term.flatten().to_numpy()
+    names, out = doc << 32 | first, np.zeros((len(first), n_terms + 1), np.uint8)
+    for shift in (1, 0, -1, -2):
+        ok = block + shift >= 0
+        key = own[ok] << 32 | (block[ok] + shift)
+        row = np.minimum(np.searchsorted(names, key), len(names) - 1)
+        there = names[row] == key
+        out[row[there], term[ok][there]] = 1
     return out
 
 
@@ -118,7 +144,9 @@ def gram_product(compact: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.
             if len(row):
                 row, term, w = weighted(row, term, idf, len(idf))
                 y = projected(row, term, w, m, len(first))
-                add_rows(total, term, y[row] * w[:, None].astype(np.float32))
+                order = np.argsort(term, kind="stable")
+                at, values = summed(term[order], y, row[order], w[order])
+                total[at] += values
         for b in range(0, len(idf), BLOCK):
             yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK], pa.int32()), pa.array([total[b : b + BLOCK].tobytes()])], ["block", "part"])
 
@@ -246,10 +274,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     rows, terms, w = weighted(np.repeat(np.arange(len(item_terms)), [len(t) for t in item_terms]), np.concatenate(item_terms), idf, len(idf))
     latent = unit(projected(rows, terms, w, space.astype(np.float32), len(item_terms)))
     threshold = calibrated(item_terms, idf, space, latent)
-    model = sc.broadcast((idf, space.astype(np.float32), latent, [bits(t) for t in item_terms], [len(t) for t in item_terms], [set(a.tolist()) for a in answers], items.ids, threshold))
+    distinct = [np.unique(t) for t in item_terms]
+    padded = np.full((len(distinct), max(1, *map(len, distinct))), len(idf))  # the last column of a table of terms is empty
+    for k, t in enumerate(distinct):
+        padded[k, : len(t)] = t
+    least = np.array([max(1, math.ceil(PARAPHRASE * len(t))) for t in distinct])
+    model = sc.broadcast((idf, space.astype(np.float32), latent, [bits(t) for t in item_terms], [len(t) for t in item_terms], [set(a.tolist()) for a in answers], items.ids, threshold, padded, least))
 
     def search(batches):
-        idf, space, latent, masks, sizes, answers, ids, threshold = model.value
+        idf, space, latent, masks, sizes, answers, ids, threshold, padded, least = model.value
         out = []
         for batch in slices(batches):
             row, term, first, doc = batch_passages(batch)
@@ -258,6 +291,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
             r, t, w = weighted(row, term, idf, len(idf))
             cos = unit(projected(r, t, w, space, len(first))) @ latent.T
             where, item = np.nonzero(cos >= threshold)
+            # A common subsequence is no longer than the terms in common, which are counted first.
+            here = surroundings(batch, first, doc, len(idf))
+            enough = here[where[:, None], padded[item]].sum(1) >= least[item]
+            where, item = where[enough], item[enough]
             pos, terms = batch.column("pos"), batch.column("term")
             off, pos, terms = pos.offsets.to_numpy(), pos.flatten().to_numpy(), terms.flatten().to_numpy()
             off = off - off[0]
@@ -268,12 +305,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
                     own = pos[off[d] : off[d + 1]]
                     a, b = np.searchsorted(own, [begin - STRIDE, begin + 3 * STRIDE])
                     sequence = terms[off[d] + a : off[d] + b].tolist()
-                    here = set(sequence)
+                    found_here = set(sequence)
                 n = sizes[i]
-                if not n or sum(1 for x in masks[i] if x in here) < PARAPHRASE * len(masks[i]):
-                    continue
                 share = common_subsequence(masks[i], n, sequence) / n
-                answer = sum(1 for x in answers[i] if x in here) / len(answers[i]) if answers[i] else 1.0
+                answer = sum(1 for x in answers[i] if x in found_here) / len(answers[i]) if answers[i] else 1.0
                 if share >= VERBATIM or share >= PARAPHRASE and answer >= ANSWER:
                     out.append({"doc_id": batch.column("doc_id")[d].as_py(), "item_id": ids[i], "cosine": float(cos[p, i]), "common": share, "answer": answer})
         yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), *((c, pa.float64()) for c in ("cosine", "common", "answer"))]))
