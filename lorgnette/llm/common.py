@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but as a Parquet table in the shared folder: smaller where columns compress well."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows fit in ``BROADCAST_LIMIT``; else as it is, for a shuffled join."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_LIMIT else df
