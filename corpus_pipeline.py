@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found on many sites stay in one document; a document of which nothing is left goes."""
+    """Lines found on many sites stay in one document only."""
     return line_dedup.apply(docs)
 
 

@@ -1,7 +1,8 @@
 """Line dedup by distinct-site spread.
 
 A line that stands on at least ``min_sites`` sites (values of ``source``) is boilerplate: it is kept in the document
-with the lowest ``doc_id`` that has it and removed from all others. Sites are counted by a HyperLogLog sketch for each
+with the lowest ``doc_id`` that has it and removed from all others, but not from those in which such lines make up more
+than ``MOST`` of the text: these are copies of a document, no pages with boilerplate, and stay whole. Sites are counted by a HyperLogLog sketch for each
 hash of a trimmed line, merged by aggregation; only lines whose estimate is near the threshold are counted exactly.
 
 Defined results: blank lines are never boilerplate; a null source counts as no site; a null text stays null with no
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lorgnette.llm.common import cut, small
 
-MIN_SITES = 10
+MIN_SITES, MOST = 10, 0.5
 #: log2 of the sketches' registers, and the share around the threshold within which sites are counted exactly.
 LG_K, BAND = 12, 0.15
 
@@ -43,7 +44,9 @@ def with_spread_removed(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFram
     gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("h").alias("_gone"))
     lines = docs.join(gone, F.col("doc_id") == F.col("_id"), "left").withColumn("_lines", F.split("text", "\n"))
     stays = F.filter("_lines", lambda x: ~F.array_contains(F.col("_gone"), F.xxhash64(F.trim(x))) | (F.trim(x) == ""))
-    return lines.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(stays)).drop("_id", "_gone")
+    lines = lines.withColumn("_stays", F.when(F.col("_gone").isNotNull(), stays))
+    is_page = F.coalesce(F.length(F.array_join("_stays", "\n")) >= (1 - MOST) * F.length("text"), F.lit(False))
+    return lines.withColumn("_kept", F.when(is_page, F.col("_stays")).otherwise(F.col("_lines"))).drop("_id", "_gone", "_stays")
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -55,20 +58,20 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def apply(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """The documents with their columns, without removed lines; a document of which only blank text is left goes."""
+    """The documents with their columns, without removed lines."""
     d = with_spread_removed(docs.select("doc_id", "text", "lang", "source", "n_chars"), min_sites)
     text = F.when(F.size("_kept") < F.size("_lines"), F.array_join("_kept", "\n")).otherwise(F.col("text"))
-    emptied = (F.size("_kept") < F.size("_lines")) & (F.trim(F.regexp_replace(text, "\n", "")) == "")
-    kept = d.where(~F.coalesce(emptied, F.lit(False)))
     chars = F.when(F.size("_kept") < F.size("_lines"), F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return kept.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"))
+    return d.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"))
 
 
 DEDUP_SQL = f"""
 WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 s AS (SELECT trim(line) AS k, min(doc_id) AS owner FROM l WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT source) >= {MIN_SITES}),
-f AS (SELECT l.doc_id, l.pos, l.line, s.k IS NOT NULL AND l.doc_id > s.owner AS gone FROM l LEFT JOIN s ON trim(l.line) = s.k)
+f AS (SELECT l.doc_id, l.pos, l.line, s.k IS NOT NULL AND l.doc_id > s.owner AS gone FROM l LEFT JOIN s ON trim(l.line) = s.k),
+p AS (SELECT doc_id, coalesce(length(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone)), 0) >= {1 - MOST} * length(string_agg(line, chr(10))) AS page FROM f GROUP BY doc_id),
+g AS (SELECT doc_id, pos, line, gone AND page AS gone FROM f JOIN p USING (doc_id))
 SELECT doc_id, count(*)::INT AS n_lines, count(*) FILTER (WHERE gone)::INT AS n_removed,
   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
-FROM f GROUP BY doc_id
+FROM g GROUP BY doc_id
 """

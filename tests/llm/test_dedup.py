@@ -115,20 +115,27 @@ def test_substring_spans_match_brute_force(docs):
 
 
 def test_line_dedup(spark):
-    rows = [(i, f"Only here {i}\n  Everywhere \nin few" if i < 3 else f"Only here {i}\nEverywhere", "en", f"s{i}", 9) for i in range(12)]
-    rows += [(20, None, "en", "s1", None), (21, "", "en", "s1", 0), (22, "Everywhere", "en", None, 10), (5, rows[5][1], "en", "s5", 9), (23, "\n\n", "en", "s9", 2)]
+    rows = [(i, f"Only here is text {i}\n  Everywhere \nin few" if i < 3 else f"Only here is text {i}\nEverywhere", "en", f"s{i}", 9) for i in range(12)]
+    rows += [(20, None, "en", "s1", None), (21, "", "en", "s1", 0), (22, "Everywhere\nx", "en", None, 12), (5, rows[5][1], "en", "s5", 9), (23, "\n\n", "en", "s9", 2)]
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("h", F.lit(1)).withColumn("site", F.lit(2)).withColumn("owner", F.lit(2))
     got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
     assert got[0]["text"] == rows[0][1] and got[0]["n_removed"] == 0
-    assert got[1]["text"] == "Only here 1\nin few" and (got[1]["n_lines"], got[1]["n_removed"]) == (3, 1)
-    assert got[20]["text"] is None and got[20]["n_lines"] == 0 and got[21]["text"] == "" and got[22]["text"] == "" and got[23]["text"] == "\n\n"
+    assert got[1]["text"] == "Only here is text 1\nin few" and (got[1]["n_lines"], got[1]["n_removed"]) == (3, 1)
+    assert got[20]["text"] is None and got[20]["n_lines"] == 0 and got[21]["text"] == "" and got[23]["text"] == "\n\n"
+    assert got[22]["text"] == "Everywhere\nx"  # mostly such lines: a copy, which stays whole
     kept = {r["doc_id"]: r for r in line_dedup.apply(docs).collect()}
-    assert 22 not in kept and {20, 21, 23} <= set(kept) and kept[4]["text"] == "Only here 4" and kept[4]["n_chars"] == 11
-    assert line_dedup.apply(docs).columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert set(kept) == {r[0] for r in rows} and kept[4]["text"] == "Only here is text 4" and kept[4]["n_chars"] == 19 and kept[0]["n_chars"] == 9
+    assert line_dedup.apply(docs).count() == len(rows) and line_dedup.apply(docs).columns == ["doc_id", "text", "lang", "source", "n_chars"]
     nine = spark.createDataFrame([r for r in rows if r[0] < 9], SCHEMA)
     assert sum(r["n_removed"] for r in line_dedup.dedup_lines(nine).collect()) == 0
 
 
+def test_line_dedup_counts_exactly_near_the_threshold(spark):
+    rows = [(100 * n + i, f"Own words of this one {n} {i}\nline {n}", "en", f"s{i}", 9) for n in range(7, 14) for i in range(n)]
+    got = line_dedup.spread_lines(spark.createDataFrame(rows, SCHEMA), 10, 0.5).collect()
+    assert sorted(r["owner"] for r in got) == [1000, 1100, 1200, 1300]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert jaccard.near_duplicate_groups(none).count() == jaccard.jaccard_join(none).count() == 0
