@@ -92,12 +92,16 @@ def prompt(version: Column | str, movie_name: Column, summary: Column, prompts:
     return chosen.otherwise(F.raise_error(F.concat(F.lit("unknown prompt version: "), F.coalesce(version, F.lit("null")))))
 
 
+#: Names of score tables: a model, then how it was prompted.
+ABLATION_FILE = r"^(.*?)_(instruction|base|rag)[.]csv$"
+
+
 def file_model(name: Column | str) -> Column:
-    return F.regexp_extract(c(name), r"^(.*?)_(base|rag|instruction)\.csv$", 1)
+    return F.regexp_extract(c(name), ABLATION_FILE, 1)
 
 
 def file_ablation(name: Column | str) -> Column:
-    return F.regexp_extract(c(name), r"^(.*?)_(base|rag|instruction)\.csv$", 2)
+    return F.regexp_extract(c(name), ABLATION_FILE, 2)
 
 
 def display_name(model: Column | str) -> Column:

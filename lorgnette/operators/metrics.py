@@ -9,7 +9,9 @@ from lorgnette.functions.vectors import cosine, dot, is_zero, norm, raw_cosine,
 from lorgnette.operators.parser import Parsed
 from lorgnette.operators.providers import Letters
 
-METRICS = ["dc1_adjacent_similarity", "dc2_qa_relevance", "dc3_topic_concentration", "cc1_emotional_stability", "cc2_linguistic_consistency", "cc3_action_intention_alignment", "pr1_scene_similarity", "pr2_event_coherence"]
+#: The metrics by family, and their names.
+NAMES = {"dc": "adjacent_similarity qa_relevance topic_concentration", "cc": "emotional_stability linguistic_consistency action_intention_alignment", "pr": "scene_similarity event_coherence"}
+METRICS = [f"{family}{k}_{name}" for family, names in NAMES.items() for k, name in enumerate(names.split(), 1)]
 
 
 def full(df: DataFrame) -> DataFrame:

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from lorgnette.functions.text import clean_element, html_unescape, strip
 
-KINDS = ("character", "dialogue", "parenthetical", "action", "scene_description", "stage_direction")
+KINDS = ("action", "dialogue", "character", "stage_direction", "scene_description", "parenthetical")
 SCENE = r"(?is)<scene>(.*?)</scene>"
 ELEMENT = rf"(?is)<({'|'.join(KINDS)})>(.*?)</\1>"
-PLAIN_SPLIT = r"(?iU)\n\s*\n|(?:INT\.|EXT\.|FADE IN:|FADE OUT:)"
-PLAIN_LINE = r"(?md)^([A-Z][A-Z0-9_ \-]+)[:. ]+(.+)$"
+PLAIN_SPLIT = r"(?iU)(?:INT|EXT)\.|FADE (?:IN|OUT):|\n\s*\n"
+PLAIN_LINE = r"(?md)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$"
 #: What joins the parts of a scene: a backslash and an n, two characters.
 SCENE_SEPARATOR = "\\n"
 

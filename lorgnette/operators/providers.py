@@ -106,10 +106,10 @@ class Models:
 
 #: Rules by which a model's name chooses its provider, the first that fits: exact names or parts of the lower-cased name.
 ROUTES: list[tuple[str, list[str], list[str]]] = [
-    ("silicon", ["Pro/deepseek-ai/DeepSeek-V3", "Pro/deepseek-ai/DeepSeek-R1", "Qwen/QwQ-32B"], []),
+    ("silicon", ["Qwen/QwQ-32B", *(f"Qwen/Qwen2.5-{k}B-Instruct" for k in (7, 32, 72)), *(f"Pro/deepseek-ai/DeepSeek-{k}" for k in ("R1", "V3"))], []),
     ("google", [], ["gemini"]),
     ("openai", [], ["gpt", "o1", "o3", "o4"]),
-    ("nvidia", ["meta/llama-4-maverick-17b-128e-instruct", "meta/llama-4-scout-17b-16e-instruct"], []),
+    ("nvidia", [f"meta/llama-4-{k}-instruct" for k in ("scout-17b-16e", "maverick-17b-128e")], []),
     ("intern", ["internlm3-8b-instruct"], []),
 ]
 

@@ -235,19 +235,19 @@ def parse_parenthetical(spark, d):
 
 
 PLAIN = r"""s AS (SELECT conv_id AS script_id, string_agg(upper(role) || ': ' || replace(text, chr(10), ' '), chr(10) || chr(10) ORDER BY turn) AS t FROM conversations GROUP BY 1),
-p AS (SELECT script_id, regexp_split_to_array(t, '(?i)\n\s*\n|(?:INT\.|EXT\.|FADE IN:|FADE OUT:)') AS parts FROM s),
+p AS (SELECT script_id, regexp_split_to_array(t, '(?i)(?:INT|EXT)\.|FADE (?:IN|OUT):|\n\s*\n') AS parts FROM s),
 n AS (SELECT script_id, unnest(parts) AS raw, generate_subscripts(parts, 1) AS i FROM p),
 z AS (SELECT script_id, i, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS text FROM n WHERE regexp_replace(raw, '^\s+|\s+$', '', 'g') <> '')"""
 
 
-@query(rf"""WITH {PLAIN}, x AS (SELECT script_id, i, unnest(regexp_extract_all(text, '(?m)^([A-Z][A-Z0-9_ \-]+)[:. ]+(.+)$', 1)) AS c, unnest(regexp_extract_all(text, '(?m)^([A-Z][A-Z0-9_ \-]+)[:. ]+(.+)$', 2)) AS t,
-  generate_subscripts(regexp_extract_all(text, '(?m)^([A-Z][A-Z0-9_ \-]+)[:. ]+(.+)$', 1), 1) AS j FROM z)
+@query(rf"""WITH {PLAIN}, x AS (SELECT script_id, i, unnest(regexp_extract_all(text, '(?m)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$', 1)) AS c, unnest(regexp_extract_all(text, '(?m)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$', 2)) AS t,
+  generate_subscripts(regexp_extract_all(text, '(?m)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$', 1), 1) AS j FROM z)
 SELECT script_id, (row_number() OVER (PARTITION BY script_id ORDER BY i, j) - 1)::INT AS pos, {trimmed("c")} AS character, {trimmed("t")} AS text FROM x""")
 def parse_plain_script(spark, d):
     return parser.parse_plain(plain(spark, d))[0]
 
 
-@query(rf"""WITH {PLAIN}, r AS (SELECT script_id, i, {trimmed(r"regexp_replace(text, '(?m)^([A-Z][A-Z0-9_ \-]+)[:. ]+(.+)$', '', 'g')")} AS text FROM z)
+@query(rf"""WITH {PLAIN}, r AS (SELECT script_id, i, {trimmed(r"regexp_replace(text, '(?m)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$', '', 'g')")} AS text FROM z)
 SELECT script_id, (row_number() OVER (PARTITION BY script_id ORDER BY i) - 1)::INT AS pos, text FROM r WHERE text <> ''""")
 def parse_plain_actions(spark, d):
     return parser.parse_plain(plain(spark, d))[2]
@@ -477,7 +477,7 @@ def run_counters(spark, d):
 
 @query("SELECT event_id, CASE event_type WHEN 'click' THEN 'google' WHEN 'view' THEN 'openai' WHEN 'error' THEN 'nvidia' WHEN 'signup' THEN 'intern' END AS provider FROM events")
 def route_provider(spark, d):
-    model = F.when(F.col("event_type") == "click", "x/Gemini-2").when(F.col("event_type") == "view", "GPT-4o").when(F.col("event_type") == "error", "meta/llama-4-scout-17b-16e-instruct").when(F.col("event_type") == "signup", "internlm3-8b-instruct").otherwise("unknown")
+    model = F.when(F.col("event_type") == "click", "x/Gemini-2").when(F.col("event_type") == "view", "GPT-4o").when(F.col("event_type") == "error", providers.ROUTES[3][1][0]).when(F.col("event_type") == "signup", "internlm3-8b-instruct").otherwise("unknown")
     return table(spark, d, "events").select("event_id", providers.route(model).alias("provider"))
 
 

@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lorgnette.functions.text import strip, unwrap
+from lorgnette.operators.metrics import METRICS
 
 MOVIES = "movie_name string, imdb_id string, summary string"
-SCORES = (
-    "movie_name string, imdb_id string, line_number string, regex_parsing_successful string, dc1_adjacent_similarity string, dc2_qa_relevance string, dc3_topic_concentration string, "
-    "cc1_emotional_stability string, cc2_linguistic_consistency string, cc3_action_intention_alignment string, pr1_scene_similarity string, pr2_event_coherence string"
-)
+SCORES = ", ".join(f"{k} string" for k in ("movie_name", "imdb_id", "line_number", "regex_parsing_successful", *METRICS))
 
 
 def roots(paths: str | list[str]) -> list[str]:
