@@ -25,9 +25,9 @@ def embedded(texts: DataFrame, provider) -> DataFrame:
 def concentration(keys: list[str], df: DataFrame, least: int, least_full: int) -> DataFrame:
     """(keys, score): 1 less the mean cosine distance to the mean of the group's non-zero vectors.
 
-    The mean cosine to the mean vector is the sum of unit vectors times the mean's direction, so one aggregation does.
+    Zero vectors add nothing to either sum. The mean cosine to the mean vector is the sum of unit vectors times the mean's direction, so one aggregation does.
     """
-    g = df.groupBy(*keys).agg(F.count("*").alias("n_all"), F.count_if(~is_zero("v")).alias("n"), vector_sum(F.when(~is_zero("v"), F.col("v"))).alias("s"), vector_sum(F.when(~is_zero("v"), unit("v"))).alias("u"))
+    g = df.groupBy(*keys).agg(F.count("*").alias("n_all"), F.count_if(~is_zero("v")).alias("n"), vector_sum("v").alias("s"), vector_sum(F.when(is_zero("v"), F.col("v")).otherwise(unit("v"))).alias("u"))
     return g.where((F.col("n_all") >= least) & (F.col("n") >= least_full)).where(~is_zero("s")).select(*keys, (dot("u", "s") / (F.col("n") * norm("s"))).alias("score"))
 
 

@@ -37,7 +37,7 @@ def averages(scores: DataFrame, file: str = "file", metrics: list[str] | None =
     """
     names = sorted(metrics or [k for k in scores.columns if k not in META and k != file])
     wide = average_long(scores, file).groupBy(file).pivot("metric", names).agg(F.first("value"))
-    return scores.select(file).distinct().join(wide, file, "left").fillna(0.0, names).select(file, *names)
+    return scores.select(file).distinct().join(wide, file, "left").select(file, *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names])
 
 
 def with_genres(scores: DataFrame, genres: DataFrame, key: str = "imdb_id") -> DataFrame:

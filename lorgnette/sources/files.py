@@ -84,7 +84,7 @@ def read_scripts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     where = roots(paths)
     lines = physical_lines(spark, where)
     arrays = lines.where("physical_line = 1 AND startswith(value, '[')").select("source_file").distinct()
-    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl}").option("wholetext", True).text(where)
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl}").text(where, wholetext=True)
     whole = whole.where("startswith(value, '[')").select(F.col("_metadata.file_path").alias("source_file"), "value")
     rows = entries_of_lines(lines.join(arrays, "source_file", "left_anti")).unionByName(entries_of_arrays(whole))
     return numbered(rows)
@@ -113,5 +113,5 @@ def stem(name: Column) -> Column:
 
 def read_cache(spark: SparkSession, folder: str) -> DataFrame:
     """(imdb_id, response) of the answers kept as ``{imdb_id}.txt`` below a folder."""
-    t = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(folder)
+    t = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     return t.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1).alias("imdb_id"), F.col("value").alias("response"))
