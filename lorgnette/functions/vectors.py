@@ -38,9 +38,12 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw_cosine(a, b)))
 
 
-def unit(a: Column | str) -> Column:
+def unit(a: Column | str, length: Column | None = None) -> Column:
+    """The vector by its norm; a zero vector stays as it is. ``length`` is the norm if a column has it already."""
     a = c(a)
-    return F.transform(a, lambda x: x.cast("double") / norm(a))
+    # The norm goes in as an array's only element, so that it is worked out once and not for each element of ``a``.
+    n = F.array(norm(a) if length is None else length)
+    return F.when(is_zero(a), a).otherwise(F.flatten(F.transform(n, lambda k: F.transform(a, lambda x: x.cast("double") / k))))
 
 
 def vector_sum(a: Column | str) -> Column:

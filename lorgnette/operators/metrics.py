@@ -27,7 +27,7 @@ def concentration(keys: list[str], df: DataFrame, least: int, least_full: int) -
 
     Zero vectors add nothing to either sum. The mean cosine to the mean vector is the sum of unit vectors times the mean's direction, so one aggregation does.
     """
-    g = df.groupBy(*keys).agg(F.count("*").alias("n_all"), F.count_if(~is_zero("v")).alias("n"), vector_sum("v").alias("s"), vector_sum(F.when(is_zero("v"), F.col("v")).otherwise(unit("v"))).alias("u"))
+    g = df.groupBy(*keys).agg(F.count("*").alias("n_all"), F.count_if(~is_zero("v")).alias("n"), vector_sum("v").alias("s"), vector_sum(unit("v")).alias("u"))
     return g.where((F.col("n_all") >= least) & (F.col("n") >= least_full)).where(~is_zero("s")).select(*keys, (dot("u", "s") / (F.col("n") * norm("s"))).alias("score"))
 
 
@@ -104,15 +104,42 @@ def pr2(scenes: DataFrame, actions: DataFrame, provider=Letters()) -> DataFrame:
     return adjacent(embedded(events_of(scenes, actions, provider), provider), raw_cosine)
 
 
+def dialogue_scores(dialogues: DataFrame, provider=Letters(), first: int = 20) -> DataFrame:  # noqa: B008
+    """(script_id, dc1 to cc2): the five metrics of dialogues alone, embedded once.
+
+    One shuffle by script serves the windows over scripts and speakers, the sums by speaker and those by script.
+    """
+    d = embedded(dialogues.repartition("script_id"), provider).withColumn("q", provider.is_question(F.col("text")))
+    script, speaker = Window.partitionBy("script_id").orderBy("pos"), Window.partitionBy("script_id", "character").orderBy("pos")
+    d = d.withColumn("next_v", F.lead("v").over(script)).withColumn("next_q", F.lead("q").over(script))
+    d = d.withColumn("k", F.row_number().over(speaker)).withColumn("n", F.count("*").over(Window.partitionBy("script_id", "character")))
+    d = d.withColumn("e", F.when((F.col("k") <= first) & (F.col("n") >= 2), provider.emotion(F.col("character"), F.col("text"))))
+    d = d.withColumn("step", F.abs(F.col("e") - F.last("e", ignorenulls=True).over(speaker.rowsBetween(Window.unboundedPreceding, -1))))
+    d = d.withColumn("near", F.when(F.col("next_v").isNotNull(), cosine("v", "next_v"))).withColumn("answers", F.col("q") & ~F.col("next_q"))
+    s = d.groupBy("script_id", "character").agg(
+        F.count("*").alias("n_all"), F.count_if(~is_zero("v")).alias("n"), vector_sum("v").alias("s"), vector_sum(unit("v")).alias("u"), F.avg("step").alias("step"),
+        F.sum("near").alias("near"), F.count("near").alias("n_near"), F.sum(F.when(F.col("answers"), F.col("near"))).alias("qa"), F.count(F.when(F.col("answers"), F.col("near"))).alias("n_qa"),
+    )
+    at_centre = lambda n_all: F.when((F.col("n_all") >= n_all) & (F.col("n") >= 2) & ~is_zero("s"), dot("u", "s") / (F.col("n") * norm("s")))
+    s = s.withColumn("alike", clamp_known(at_centre(3))).withColumn("calm", clamp_known(1 - F.col("step") / 2))
+    total = s.groupBy("script_id").agg(
+        F.sum("n_all").alias("n_all"), F.sum("n").alias("n"), vector_sum("s").alias("s"), vector_sum("u").alias("u"), F.avg("alike").alias(METRICS[4]), F.avg("calm").alias(METRICS[3]),
+        F.try_divide(F.sum("near"), F.sum("n_near")).alias(METRICS[0]), F.try_divide(F.sum("qa"), F.sum("n_qa")).alias(METRICS[1]),
+    )
+    return total.select("script_id", METRICS[0], METRICS[1], F.when(at_centre(2).isNotNull(), F.greatest(at_centre(2), F.lit(0.0))).alias(METRICS[2]), METRICS[3], METRICS[4])
+
+
+def clamp_known(x: Column) -> Column:
+    return F.when(x.isNotNull(), clamp(x))
+
+
 def score(parsed: Parsed, provider=Letters()) -> DataFrame:  # noqa: B008
     """(script_id, regex_parsing_successful, the eight metrics): one row for each script, 0 where a metric has too little to go by."""
     d, s, a = parsed.dialogues, parsed.scenes, parsed.actions
-    scores = [dc1(d, provider), dc2(d, provider), dc3(d, provider), cc1(d, provider), cc2(d, provider), cc3(d, a, provider), pr1(s, provider), pr2(s, a, provider)]
     # One aggregation over the metrics' rows, instead of a join for each of them.
-    long = None
-    for name, m in zip(METRICS, scores, strict=True):
-        m = m.select("script_id", F.lit(name).alias("metric"), "score")
-        long = m if long is None else long.unionByName(m)
-    wide = long.groupBy("script_id").agg(*[F.max(F.when((F.col("metric") == m) & ~F.isnan("score"), F.col("score"))).alias(m) for m in METRICS])
+    long = dialogue_scores(d, provider)
+    for name, m in zip(METRICS[5:], [cc3(d, a, provider), pr1(s, provider), pr2(s, a, provider)], strict=True):
+        long = long.unionByName(m.select("script_id", F.col("score").alias(name)), allowMissingColumns=True)
+    wide = long.groupBy("script_id").agg(*[F.max(F.when(~F.isnan(m), F.col(m))).alias(m) for m in METRICS])
     out = parsed.scripts.join(wide, "script_id", "left")
     return out.select("script_id", F.col("parsed").alias("regex_parsing_successful"), *[F.when(F.col("parsed") == 1, F.coalesce(m, F.lit(0.0))).otherwise(0.0).alias(m) for m in METRICS])
