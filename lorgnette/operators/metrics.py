@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lorgnette.functions.vectors import cosine, dot, is_zero, norm, raw_cosine, unit, vector_sum
 from lorgnette.operators.parser import Parsed
 from lorgnette.operators.providers import Letters
+from lorgnette.sources.shared import cut
 
 #: The metrics by family, and their names.
 NAMES = {"dc": "adjacent_similarity qa_relevance topic_concentration", "cc": "emotional_stability linguistic_consistency action_intention_alignment", "pr": "scene_similarity event_coherence"}
@@ -82,9 +83,11 @@ def best_match(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def cc3(dialogues: DataFrame, actions: DataFrame, provider=Letters(), first: int = 30) -> DataFrame:  # noqa: B008
+    """Frames without a column ``v`` are embedded here."""
     k = F.row_number().over(Window.partitionBy("script_id").orderBy("pos"))
     wanted = full(dialogues.withColumn("k", k).where(f"k <= {first}")).where(provider.has_intent(F.col("text")))
-    return best_match(embedded(wanted, provider), embedded(actions, provider)).groupBy("script_id").agg(F.avg("best").alias("score"))
+    left, right = (x if "v" in x.columns else embedded(x, provider) for x in (wanted, full(actions)))
+    return best_match(left, right).groupBy("script_id").agg(F.avg("best").alias("score"))
 
 
 def pr1(scenes: DataFrame, provider=Letters()) -> DataFrame:  # noqa: B008
@@ -104,12 +107,12 @@ def pr2(scenes: DataFrame, actions: DataFrame, provider=Letters()) -> DataFrame:
     return adjacent(embedded(events_of(scenes, actions, provider), provider), raw_cosine)
 
 
-def dialogue_scores(dialogues: DataFrame, provider=Letters(), first: int = 20) -> DataFrame:  # noqa: B008
-    """(script_id, dc1 to cc2): the five metrics of dialogues alone, embedded once.
+def dialogue_scores(d: DataFrame, provider=Letters(), first: int = 20) -> DataFrame:  # noqa: B008
+    """(script_id, dc1 to cc2): the five metrics of dialogues alone, of embedded ones.
 
     One shuffle by script serves the windows over scripts and speakers, the sums by speaker and those by script.
     """
-    d = embedded(dialogues.repartition("script_id"), provider).withColumn("q", provider.is_question(F.col("text")))
+    d = d.repartition("script_id").withColumn("q", provider.is_question(F.col("text")))
     script, speaker = Window.partitionBy("script_id").orderBy("pos"), Window.partitionBy("script_id", "character").orderBy("pos")
     d = d.withColumn("next_v", F.lead("v").over(script)).withColumn("next_q", F.lead("q").over(script))
     d = d.withColumn("k", F.row_number().over(speaker)).withColumn("n", F.count("*").over(Window.partitionBy("script_id", "character")))
@@ -135,11 +138,20 @@ def clamp_known(x: Column) -> Column:
 
 def score(parsed: Parsed, provider=Letters()) -> DataFrame:  # noqa: B008
     """(script_id, regex_parsing_successful, the eight metrics): one row for each script, 0 where a metric has too little to go by."""
-    d, s, a = parsed.dialogues, parsed.scenes, parsed.actions
+    return score_texts(parsed.scripts, parsed.long(), provider)
+
+
+def score_texts(scripts: DataFrame, long: DataFrame, provider=Letters()) -> DataFrame:  # noqa: B008
+    """Of ``scripts`` (script_id, parsed) and ``long`` (script_id, kind, pos, character, text), as ``Parsed.long`` gives it.
+
+    Texts are parsed and embedded in one pass, which is kept in the shared folder for the metrics to read.
+    """
+    e = cut(long.withColumn("v", provider.embed(F.col("text"))))
+    d, s, a = (e.where(F.col("kind") == k).drop("kind") for k in "dsa")
     # One aggregation over the metrics' rows, instead of a join for each of them.
-    long = dialogue_scores(d, provider)
-    for name, m in zip(METRICS[5:], [cc3(d, a, provider), pr1(s, provider), pr2(s, a, provider)], strict=True):
-        long = long.unionByName(m.select("script_id", F.col("score").alias(name)), allowMissingColumns=True)
-    wide = long.groupBy("script_id").agg(*[F.max(F.when(~F.isnan(m), F.col(m))).alias(m) for m in METRICS])
-    out = parsed.scripts.join(wide, "script_id", "left")
-    return out.select("script_id", F.col("parsed").alias("regex_parsing_successful"), *[F.when(F.col("parsed") == 1, F.coalesce(m, F.lit(0.0))).otherwise(0.0).alias(m) for m in METRICS])
+    scores = dialogue_scores(full(d), provider)
+    for name, m in zip(METRICS[5:], [cc3(d, a, provider), adjacent(full(s), cosine), pr2(s, a, provider)], strict=True):
+        scores = scores.unionByName(m.select("script_id", F.col("score").alias(name)), allowMissingColumns=True)
+    out = scripts.select("script_id", "parsed").join(scores, "script_id", "left")
+    best = [F.coalesce(F.max(F.when(~F.isnan(m), F.col(m))), F.lit(0.0)) for m in METRICS]
+    return out.groupBy("script_id").agg(F.max("parsed").alias("regex_parsing_successful"), *[F.when(F.max("parsed") == 1, x).otherwise(0.0).alias(m) for m, x in zip(METRICS, best, strict=True)])

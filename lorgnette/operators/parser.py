@@ -1,14 +1,14 @@
 """Screenplays into scenes, dialogues and actions.
 
-A script row becomes elements in order; speakers, parentheticals and fallbacks are windows and aggregates over the
-script, all on one partitioning by ``script_id``.
+A script is one row, and so is what is found in it: elements become an array in order, over which an aggregate walks. No
+shuffle is needed; frames of lines, scenes and actions are exploded from the row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorgnette.functions.text import clean_element, html_unescape, strip
@@ -22,14 +22,39 @@ PLAIN_LINE = r"(?md)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$"
 SCENE_SEPARATOR = "\\n"
 
 
+LINES, TEXTS = "array<struct<character: string, text: string>>", "array<string>"
+
+
 @dataclass
 class Parsed:
-    """``dialogues`` (script_id, pos, character, text), ``scenes`` and ``actions`` (script_id, pos, text), ``scripts`` (script_id, parsed, plain)."""
+    """``rows``: a row for each script (script_id, parsed, plain, dialogues, scenes, actions); the frames below are made of it."""
+
+    rows: DataFrame
+
+    @property
+    def scripts(self) -> DataFrame:
+        return self.rows.select("script_id", "parsed", "plain")
+
+    @property
+    def dialogues(self) -> DataFrame:
+        """(script_id, pos, character, text)"""
+        return self.rows.select("script_id", F.posexplode("dialogues").alias("pos", "x")).select("script_id", "pos", "x.character", "x.text")
 
-    scripts: DataFrame
-    dialogues: DataFrame
-    scenes: DataFrame
-    actions: DataFrame
+    @property
+    def scenes(self) -> DataFrame:
+        """(script_id, pos, text)"""
+        return self.rows.select("script_id", F.posexplode("scenes").alias("pos", "text"))
+
+    @property
+    def actions(self) -> DataFrame:
+        """(script_id, pos, text)"""
+        return self.rows.select("script_id", F.posexplode("actions").alias("pos", "text"))
+
+    def long(self) -> DataFrame:
+        """(script_id, kind, pos, character, text): dialogues (d), scenes (s) and actions (a) in one frame, from one pass."""
+        of = lambda kind: lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), F.lit(None).cast("string").alias("character"), x.alias("text"))
+        lines = F.transform("dialogues", lambda x, i: F.struct(F.lit("d").alias("kind"), i.alias("pos"), x["character"].alias("character"), x["text"].alias("text")))
+        return self.rows.select("script_id", F.explode(F.concat(lines, F.transform("scenes", of("s")), F.transform("actions", of("a")))).alias("x")).select("script_id", "x.*")
 
 
 def all_of(x: Column, pattern: str, group: int = 1) -> Column:
@@ -44,95 +69,96 @@ def not_empty(x: Column) -> Column:
     return F.filter(x, lambda s: s != "")
 
 
-def unescaped(scripts: DataFrame) -> DataFrame:
-    """(script_id, text, found): entities decoded, and the scenes found in it."""
-    t = scripts.select("script_id", html_unescape(strip("script_segment")).alias("text"))
-    return t.withColumn("found", F.coalesce(all_of(F.col("text"), SCENE), F.array().cast("array<string>")))
+def element(kind: Column, content: Column) -> Column:
+    return F.struct(kind.alias("kind"), clean_element(content).alias("content"))
 
 
-def elements(scripts: DataFrame) -> DataFrame:
-    """(script_id, scene, phase, pos, kind, content) of the tagged scripts; phase 0 repeats a scene's stage directions before all else."""
-    raw = unescaped(scripts).select("script_id", F.posexplode("found").alias("scene", "raw"))
-    headings = F.transform(all_of(F.col("raw"), tag("stage_direction")), lambda x, i: F.struct(F.lit(0).alias("phase"), i.alias("pos"), F.lit("stage_direction").alias("kind"), clean_element(x).alias("content")))
-    pairs = F.arrays_zip(all_of(F.col("raw"), ELEMENT).alias("k"), all_of(F.col("raw"), ELEMENT, 2).alias("b"))
-    body = F.transform(pairs, lambda x, i: F.struct(F.lit(1).alias("phase"), i.alias("pos"), F.lower(x["k"]).alias("kind"), clean_element(x["b"]).alias("content")))
-    return raw.select("script_id", "scene", F.explode(F.concat(headings, body)).alias("e")).select("script_id", "scene", "e.*").where("content <> ''")
+def elements_of(found: Column) -> Column:
+    """The elements of all scenes in order: a mark where a scene begins, its stage directions as headings, then its elements."""
 
+    def of(raw: Column) -> Column:
+        headings = F.transform(all_of(raw, tag("stage_direction")), lambda x: element(F.lit("heading"), x))
+        body = F.zip_with(all_of(raw, ELEMENT), all_of(raw, ELEMENT, 2), lambda k, x: element(F.lower(k), x))
+        return F.concat(F.array(F.struct(F.lit("scene").alias("kind"), F.lit("").alias("content"))), F.filter(F.concat(headings, body), lambda e: e["content"] != ""))
 
-def spoken(e: DataFrame) -> DataFrame:
-    """Elements with ``speaker``, ``is_line``, the number ``n`` of the last line so far and whether a parenthetical ``joins`` it."""
-    e = e.where("phase = 1").repartition("script_id")
-    in_scene = Window.partitionBy("script_id", "scene").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    in_script = Window.partitionBy("script_id").orderBy("scene", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    e = e.withColumn("speaker", F.last(F.when(F.col("kind") == "character", F.upper("content")), ignorenulls=True).over(in_scene))
-    e = e.withColumn("is_line", (F.col("kind") == "dialogue") & F.col("speaker").isNotNull())
-    e = e.withColumn("n", F.count_if("is_line").over(in_script)).withColumn("last_speaker", F.last(F.when(F.col("is_line"), F.col("speaker")), ignorenulls=True).over(in_script))
-    return e.withColumn("joins", (F.col("kind") == "parenthetical") & F.coalesce(F.col("last_speaker") == F.col("speaker"), F.lit(False)))
+    return F.flatten(F.transform(found, of))
 
 
-def dialogues_of(s: DataFrame) -> DataFrame:
-    piece = F.when(F.col("is_line"), F.col("content")).otherwise(F.concat(F.lit(" ("), F.col("content"), F.lit(")")))
-    parts = F.array_sort(F.collect_list(F.struct("scene", "pos", piece.alias("t"))))
-    lines = s.where("is_line OR joins").groupBy("script_id", "n").agg(F.max(F.when(F.col("is_line"), F.col("speaker"))).alias("character"), parts.alias("p"))
-    return lines.select("script_id", (F.col("n") - 1).cast("int").alias("pos"), "character", F.array_join(F.transform("p", lambda x: x["t"]), "").alias("text"))
+def spoken(elements: Column) -> Column:
+    """(lines, actions) by a walk over the elements: who speaks, what is said, and what a parenthetical belongs to."""
 
+    def state(speaker: Column, lines: Column, actions: Column) -> Column:
+        return F.struct(speaker.alias("speaker"), lines.alias("lines"), actions.alias("actions"))
 
-def numbered(first: DataFrame, *order: str) -> DataFrame:
-    w = Window.partitionBy("script_id").orderBy(*order)
-    return first.select("script_id", (F.row_number().over(w) - 1).alias("pos"), "text")
+    def step(at: Column, e: Column) -> Column:
+        kind, content, lines = e["kind"], e["content"], at["lines"]
+        last = F.try_element_at(lines, F.lit(-1))
+        joins = (kind == "parenthetical") & F.coalesce(last["character"] == at["speaker"], F.lit(False))
+        line = lambda who, text: F.array(F.struct(who.alias("character"), text.alias("text")))
+        beside = F.concat(F.lit("("), content, F.lit(")"))
+        speaker = F.when(kind == "scene", F.lit(None).cast("string")).when(kind == "character", F.upper(content)).otherwise(at["speaker"])
+        said = F.when((kind == "dialogue") & at["speaker"].isNotNull(), F.concat(lines, line(at["speaker"], content)))
+        said = said.when(joins, F.concat(F.slice(lines, F.lit(1), F.size(lines) - 1), line(last["character"], F.concat_ws(" ", last["text"], beside)))).otherwise(lines)
+        act = F.when(kind.isin("heading", "action", "scene_description", "stage_direction"), content).when((kind == "parenthetical") & ~joins, beside)
+        return state(speaker, said, F.when(act.isNotNull(), F.concat(at["actions"], F.array(act))).otherwise(at["actions"]))
 
+    start = state(F.lit(None).cast("string"), F.array().cast(LINES), F.array().cast(TEXTS))
+    return F.aggregate(elements, start, step)
 
-def actions_of(e: DataFrame, s: DataFrame) -> DataFrame:
-    """Distinct actions in the order of their first appearance."""
-    where = ["script_id", "scene", "phase", "pos"]
-    headings = e.where("phase = 0").select(*where, F.col("content").alias("text"))
-    plain = s.where(F.col("kind").isin("action", "scene_description", "stage_direction")).select(*where, F.col("content").alias("text"))
-    beside = s.where("kind = 'parenthetical' AND NOT joins").select(*where, F.concat(F.lit("("), F.col("content"), F.lit(")")).alias("text"))
-    first = headings.unionByName(plain).unionByName(beside).groupBy("script_id", "text").agg(F.min(F.struct("scene", "phase", "pos")).alias("at"))
-    return numbered(first, "at")
 
-
-def scenes_of(scripts: DataFrame, separator: str = SCENE_SEPARATOR) -> DataFrame:
-    """Scene texts: stage directions, then descriptions; a scene with neither is left out. Without scenes, the whole text."""
-    t = unescaped(scripts)
+def scene_texts(text: Column, found: Column, separator: str = SCENE_SEPARATOR) -> Column:
+    """A scene's stage directions, then its descriptions; a scene with neither is left out. Without scenes, the whole text."""
     one = lambda raw: strip(F.array_join(not_empty(F.transform(F.concat(all_of(raw, tag("stage_direction")), all_of(raw, tag("scene_description"))), clean_element)), separator))
-    whole = F.when(F.col("text") != "", clean_element("text"))
-    texts = not_empty(F.when(F.size("found") > 0, F.transform("found", one)).otherwise(F.array_compact(F.array(whole))))
-    return t.select("script_id", F.posexplode(texts).alias("pos", "text"))
+    return not_empty(F.when(F.size(found) > 0, F.transform(found, one)).otherwise(F.array(clean_element(text))))
+
+
+def tagged_rows(scripts: DataFrame, separator: str = SCENE_SEPARATOR) -> DataFrame:
+    """(script_id, script_segment, dialogues, scenes, actions) by the tagged grammar; no row needs another, so nothing is shuffled."""
+    t = scripts.select("script_id", "script_segment", html_unescape(strip(F.coalesce("script_segment", F.lit("")))).alias("text"))
+    t = t.withColumn("found", all_of(F.col("text"), SCENE))
+    t = t.withColumn("walk", F.when(F.size("found") > 0, spoken(elements_of(F.col("found"))))).withColumn("scenes", scene_texts(F.col("text"), F.col("found"), separator))
+    actions = F.when(F.size("found") > 0, F.array_distinct("walk.actions")).otherwise(F.col("scenes"))
+    return t.select("script_id", "script_segment", F.coalesce("walk.lines", F.array().cast(LINES)).alias("dialogues"), "scenes", actions.alias("actions"))
+
+
+def plain_scenes(text: Column) -> Column:
+    return not_empty(F.transform(F.split(F.coalesce(text, F.lit("")), PLAIN_SPLIT, -1), strip))
+
+
+def plain_lines(scenes: Column) -> Column:
+    line = lambda k, x: F.struct(strip(k).alias("character"), strip(x).alias("text"))
+    return F.flatten(F.transform(scenes, lambda s: F.zip_with(all_of(s, PLAIN_LINE), all_of(s, PLAIN_LINE, 2), line)))
+
+
+def plain_actions(scenes: Column) -> Column:
+    return not_empty(F.transform(scenes, lambda s: strip(F.regexp_replace(s, PLAIN_LINE, ""))))
+
+
+def frames(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    p = Parsed(rows)
+    return p.dialogues, p.scenes, p.actions
 
 
 def parse_tagged(scripts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    e = elements(scripts)
-    s = spoken(e)
-    scenes = scenes_of(scripts)
-    untagged = scripts.where(~F.coalesce(html_unescape(strip("script_segment")).rlike(SCENE), F.lit(False))).select("script_id")
-    fallback = scenes.join(untagged, "script_id", "left_semi").select("script_id", "pos", "text")
-    return dialogues_of(s), scenes, actions_of(e, s).unionByName(fallback)
+    return frames(tagged_rows(scripts))
 
 
 def parse_plain(scripts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scripts without tags: scenes at blank lines and headings, lines ``NAME: words``; the rest of a scene is an action."""
-    parts = not_empty(F.transform(F.split("script_segment", PLAIN_SPLIT, -1), strip))
-    scenes = scripts.select("script_id", F.posexplode(parts).alias("pos", "text"))
-    pairs = F.arrays_zip(all_of(F.col("text"), PLAIN_LINE).alias("k"), all_of(F.col("text"), PLAIN_LINE, 2).alias("b"))
-    lines = scenes.select("script_id", F.col("pos").alias("scene"), F.posexplode(pairs).alias("at", "x"))
-    w = Window.partitionBy("script_id").orderBy("scene", "at")
-    dialogues = lines.select("script_id", (F.row_number().over(w) - 1).alias("pos"), strip("x.k").alias("character"), strip("x.b").alias("text"))
-    rest = scenes.select("script_id", F.col("pos").alias("scene"), strip(F.regexp_replace("text", PLAIN_LINE, "")).alias("text")).where("text <> ''")
-    return dialogues, scenes, numbered(rest, "scene")
-
-
-def parse(scripts: DataFrame) -> Parsed:
-    """Of ``scripts`` (script_id, script_segment): the tagged parser's frames, for scripts where it finds neither scene nor line the plain one's."""
-    d, s, a = parse_tagged(scripts)
-    found = d.select("script_id").unionByName(s.select("script_id")).distinct()
-    pd, ps, pa = parse_plain(scripts.join(found, "script_id", "left_anti"))
-    plain = ps.select("script_id").distinct().withColumn("plain", F.lit(True))
-    dialogues, scenes = d.unionByName(pd), s.unionByName(ps)
-    actions = a.join(plain, "script_id", "left_anti").unionByName(pa)
-    any_of = dialogues.select("script_id").unionByName(scenes.select("script_id")).unionByName(actions.select("script_id")).distinct().withColumn("parsed", F.lit(1))
-    flags = scripts.select("script_id").join(any_of, "script_id", "left").join(plain, "script_id", "left")
-    return Parsed(flags.select("script_id", F.coalesce("parsed", F.lit(0)).alias("parsed"), F.coalesce("plain", F.lit(False)).alias("plain")), dialogues, scenes, actions)
+    p = scripts.select("script_id", plain_scenes(F.col("script_segment")).alias("scenes"))
+    return frames(p.select("script_id", "scenes", plain_lines(F.col("scenes")).alias("dialogues"), plain_actions(F.col("scenes")).alias("actions")))
+
+
+def parse(scripts: DataFrame, separator: str = SCENE_SEPARATOR) -> Parsed:
+    """Of ``scripts`` (script_id, script_segment): what the tagged parser finds; of scripts where it finds neither scene nor line, what the plain one does."""
+    t = tagged_rows(scripts, separator)
+    t = t.withColumn("tagless", (F.size("scenes") == 0) & (F.size("dialogues") == 0))
+    t = t.withColumn("plain_scenes", F.when(F.col("tagless"), plain_scenes(F.col("script_segment"))))
+    t = t.withColumn("plain", F.coalesce(F.size("plain_scenes") > 0, F.lit(False)))
+    chosen = lambda name, other: F.when(F.col("plain"), other(F.col("plain_scenes"))).otherwise(F.col(name)).alias(name)
+    p = t.select("script_id", "plain", chosen("dialogues", plain_lines), chosen("scenes", lambda x: x), chosen("actions", plain_actions))
+    found = F.size("dialogues") + F.size("scenes") + F.size("actions") > 0
+    return Parsed(p.select("script_id", found.cast("int").alias("parsed"), "plain", "dialogues", "scenes", "actions"))
 
 
 def by_character(dialogues: DataFrame) -> DataFrame:

@@ -185,11 +185,15 @@ def test_metrics_match_loops(spark):
     words = ["sun", "rain", "123", "<b>", "door", "!!!", "open the gate\nand run", "stop"]
     say = lambda: " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 6)))
     data = {i: ([(rnd.choice("AB"), say()) for _ in range(rnd.randrange(0, 50))], [say() for _ in range(rnd.randrange(0, 5))], [say() for _ in range(rnd.randrange(0, 6))]) for i in range(40)}
-    rows = lambda k: [(i, p, t) for i, x in data.items() for p, t in enumerate(x[k])]
-    d = spark.createDataFrame([(i, p, c, t) for i, x in data.items() for p, (c, t) in enumerate(x[0])], "script_id bigint, pos int, character string, text string")
-    s, a = (spark.createDataFrame(rows(k), "script_id bigint, pos int, text string") for k in (1, 2))
+    rows = [(i, "d", p, c, t) for i, x in data.items() for p, (c, t) in enumerate(x[0])] + [(i, k, p, None, t) for i, x in data.items() for k, y in (("s", x[1]), ("a", x[2])) for p, t in enumerate(y)]
+    long = spark.createDataFrame(rows, "script_id bigint, kind string, pos int, character string, text string")
     scripts = spark.createDataFrame([(i, 1) for i in data], "script_id bigint, parsed int")
-    got = {r["script_id"]: r for r in M.score(parser.Parsed(scripts, d, s, a), Fixed()).collect()}
+    got = {r["script_id"]: r for r in M.score_texts(scripts, long, Fixed()).collect()}
+    d, s, a = (long.where(f"kind = '{k}'") for k in "dsa")
+    alone = [M.dc1(d), M.dc2(d), M.dc3(d), M.cc1(d), M.cc2(d), M.cc3(d, a), M.pr1(s), M.pr2(s, a)]
+    for name, m in zip(M.METRICS, alone, strict=True):
+        by = {r["script_id"]: r["score"] for r in m.collect()}
+        assert all(abs(by.get(i, 0.0) - got[i][name]) < 1e-9 for i in data), name
     for i, x in data.items():
         for m, want in by_loops(*x).items():
             assert abs(got[i][m] - want) < 1e-9, (i, m)
