@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -10,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lorgnette.sources.shared import cut, shared_folder
+
+__all__ = ["chunks", "column", "cut", "grouped", "mix", "runs", "shared_folder", "small", "table", "text_bytes", "word_table", "written"]
 #: A side of a join is broadcast only when its counted rows stay below this many bytes.
 BROADCAST_LIMIT = 32 << 20
 #: Bytes of text that the vectorised functions take at once.
@@ -20,21 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where the setting is unset, as in tests, a local one is made and set."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints"))
-    return named or sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read again, so that a lost executor costs one read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df: DataFrame) -> DataFrame:
     """Like ``cut``, but as a Parquet table in the shared folder: smaller where columns compress well."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
