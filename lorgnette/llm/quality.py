@@ -9,7 +9,8 @@ than ``cutoff`` are rejected. Any number of rows of a group only adds to the sam
 Defined results: nulls in language or source are a group like any other value; a null or empty text has the vector of no
 words; a group of fewer than ``min_rows`` rows is judged with all such groups of its language, those of a language with
 too few with those of all languages, and where these are too few nobody is rejected (``distance`` is null); ties at the
-cut all count; equal rows are judged alike. Variances have a floor, so constant statistics do no harm.
+cut all count; equal rows are judged alike. Variances have a floor, and distances are never scaled up, so statistics that
+hardly vary in a group reject nobody.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ P = 8
 #: Share of the rows that the estimate rests on, concentration steps, standard deviation floor, and rows a group needs.
 H, STEPS, FLOOR, MIN_ROWS = 0.75, 5, 0.35, 100
 #: Squared distances beyond the quantile of chi-square for this tail are rejected.
-TAIL = 1e-21
+TAIL = 0.025
 BIN = 40.0
 
 
@@ -189,7 +190,7 @@ def distances(docs: DataFrame, min_rows: int = MIN_ROWS, h: float = H, steps: in
         params = cut(estimates(moments(near)))
     for last in (False, True):
         d = measured(params)
-        half = order_statistic(d, 0.5).select("g", (F.exp((F.col("at") + 0.5) / BIN) / chi_square(P, 0.5)).alias("scale"))
+        half = order_statistic(d, 0.5).select("g", F.greatest(F.lit(1.0), F.exp((F.col("at") + 0.5) / BIN) / chi_square(P, 0.5)).alias("scale"))
         scaled = d.join(hint(half), "g").withColumn("distance", F.col("d2") / F.col("scale"))
         if not last:
             params = cut(estimates(moments(scaled.where(F.col("distance") <= chi_square(P, 0.025)))))
