@@ -215,8 +215,8 @@ def parse_tagged_script(spark, d):
 
 
 @query("""WITH t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
-a AS (SELECT conv_id, 'At ' || role || ': ' || text AS text, 2 * k AS at FROM t UNION ALL SELECT conv_id, 'Then ' || text, 2 * k + 1 FROM t)
-SELECT conv_id AS script_id, text, (row_number() OVER (PARTITION BY conv_id ORDER BY min(at)) - 1)::INT AS pos FROM a GROUP BY 1, 2""")
+a AS (SELECT conv_id, 'At ' || role || ': ' || text AS text, 2 * k AS place FROM t UNION ALL SELECT conv_id, 'Then ' || text, 2 * k + 1 FROM t)
+SELECT conv_id AS script_id, text, (row_number() OVER (PARTITION BY conv_id ORDER BY min(place)) - 1)::INT AS pos FROM a GROUP BY 1, 2""")
 def parse_actions(spark, d):
     return parser.parse(tagged(spark, d)).actions
 
