@@ -3,10 +3,12 @@
 Texts are cut into passages of ``2 * STRIDE`` words that overlap by half. Passages and benchmark items are TF-IDF vectors
 over the benchmark's own terms (no other term can be shared), without terms found in over ``STOP`` of all passages. A
 randomised SVD of all passages' vectors, by two distributed products with their Gram matrix and a Nystrom step, gives the
-latent space. Every passage is compared with every item there; a cosine over ``threshold`` makes a candidate, which is
-a leak if the longest common subsequence of the item's terms and the passage with its surroundings holds ``VERBATIM`` of
-the item, or ``PARAPHRASE`` of it and half of the terms of the item's answer, which is its last sentence. The threshold
-is set so that of mock paraphrases, items with words changed in the midst of other items' words, 98 % would be candidates.
+latent space. Items longer than a passage are cut into parts of up to ``PART`` words. Every passage is compared with
+every part there; a cosine over ``threshold`` makes a candidate, which is a leak if the longest common subsequence of the
+whole item's terms and the passage with its surroundings, as far as the item reaches from the part to either side and a
+quarter more, holds ``VERBATIM`` of the item, or ``PARAPHRASE`` of it and half of the terms of the item's answer, which is
+its last sentence. The threshold is set so that of mock paraphrases, parts with words changed in the midst of other items'
+words, 98 % would be candidates.
 
 The benchmark is a reference set of bounded size: its terms, the SVD's factors and the items are held by the driver and
 broadcast. Whatever grows with the corpus stays distributed.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lorgnette.llm.common import Words, chunks, cut, small
 
-STRIDE, STOP, MIN_TERMS = 32, 0.05, 6
+STRIDE, STOP, MIN_TERMS, PART = 32, 0.05, 6, 48
 RANK, OVERSAMPLE = 96, 16
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
 BLOCK = 512
@@ -110,6 +112,20 @@ def projected(row, term, w, matrix: np.ndarray, n_rows: int) -> np.ndarray:
     return out
 
 
+def cuts(n_words: int) -> list[int]:
+    """Where the parts of an item begin, and its end: one part of what fits in a passage, else equal ones."""
+    n = 1 if n_words <= 2 * STRIDE else -(-n_words // PART)
+    return [n_words * k // n for k in range(n + 1)]
+
+
+def reach(n_words: int, at: int) -> tuple[int, int]:
+    """How many words before and after its first one a passage is searched for an item, of which the part from ``at`` is in it."""
+    if n_words <= 2 * STRIDE:
+        return STRIDE, 3 * STRIDE
+    slack = n_words // 4 + STRIDE
+    return at + slack, n_words - at + STRIDE + slack
+
+
 def surroundings(batch: pa.RecordBatch, first: np.ndarray, doc: np.ndarray, n_terms: int) -> np.ndarray:
     """A table of which terms stand in each passage or a stride before or after it; one column more is empty."""
     pos, term = batch.column("pos"), batch.column("term")
@@ -254,6 +270,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     number = np.cumsum(informative) - 1
     idf = np.log((total + 1) / (df[informative] + 1)) + 0.01
     item_terms = [number[t[informative[t]]] for t in items.terms]
+    parts = [(k, a, b, len(t)) for k, t in enumerate(items.terms) for a, b in zip(cuts(len(t))[:-1], cuts(len(t))[1:], strict=True)]
+    part_terms = [number[t[informative[t]]] for t in (items.terms[k][a:b] for k, a, b, _ in parts)]
+    part_item, part_reach = np.array([k for k, *_ in parts]), [reach(n, a) for _, a, _, n in parts]
     answers = [np.unique(number[t[informative[t]]]) for t in items.answers]
     chosen = sc.broadcast((informative, number.astype(np.int32)))
 
@@ -271,18 +290,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
 
     compact = cut(texts.mapInArrow(compacted, "doc_id bigint, pos array<int>, term array<int>").where(F.size("pos") > 0))
     space = latent_space(compact, idf, rank)
-    rows, terms, w = weighted(np.repeat(np.arange(len(item_terms)), [len(t) for t in item_terms]), np.concatenate(item_terms), idf, len(idf))
-    latent = unit(projected(rows, terms, w, space.astype(np.float32), len(item_terms)))
-    threshold = calibrated(item_terms, idf, space, latent)
-    distinct = [np.unique(t) for t in item_terms]
-    padded = np.full((len(distinct), max(1, *map(len, distinct))), len(idf))  # the last column of a table of terms is empty
-    for k, t in enumerate(distinct):
+    rows, terms, w = weighted(np.repeat(np.arange(len(part_terms)), [len(t) for t in part_terms]), np.concatenate(part_terms), idf, len(idf))
+    latent = unit(projected(rows, terms, w, space.astype(np.float32), len(part_terms)))
+    threshold = calibrated(part_terms, idf, space, latent)
+    is_long = np.array([len(t) > 2 * STRIDE for t in items.terms])
+    short = [t[:0] if x else t for t, x in zip(item_terms, is_long, strict=True)]
+    padded = np.full((len(short), max(1, *map(len, short))), len(idf))  # the last column of a table of terms is empty
+    for k, t in enumerate(short):
         padded[k, : len(t)] = t
-    least = np.array([max(1, math.ceil(PARAPHRASE * len(t))) for t in distinct])
-    model = sc.broadcast((idf, space.astype(np.float32), latent, [bits(t) for t in item_terms], [len(t) for t in item_terms], [set(a.tolist()) for a in answers], items.ids, threshold, padded, least))
+    least = np.array([max(1, math.ceil(PARAPHRASE * len(t) - 1e-9)) for t in item_terms])
+    model = sc.broadcast((idf, space.astype(np.float32), latent, [bits(t) for t in item_terms], [len(t) for t in item_terms], [set(a.tolist()) for a in answers], items.ids, threshold, padded, least, is_long, part_item, part_reach))
 
     def search(batches):
-        idf, space, latent, masks, sizes, answers, ids, threshold, padded, least = model.value
+        idf, space, latent, masks, sizes, answers, ids, threshold, padded, least, is_long, part_item, part_reach = model.value
         out = []
         for batch in slices(batches):
             row, term, first, doc = batch_passages(batch)
@@ -290,27 +310,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
                 continue
             r, t, w = weighted(row, term, idf, len(idf))
             cos = unit(projected(r, t, w, space, len(first))) @ latent.T
-            where, item = np.nonzero(cos >= threshold)
-            # A common subsequence is no longer than the terms in common, which are counted first.
+            where, part = np.nonzero(cos >= threshold)
+            # A common subsequence is no longer than the item's terms that are there, which are counted first.
             here = surroundings(batch, first, doc, len(idf))
-            enough = here[where[:, None], padded[item]].sum(1) >= least[item]
-            where, item = where[enough], item[enough]
+            enough = is_long[part_item[part]]
+            brief = np.flatnonzero(~enough)
+            enough[brief] = here[where[brief, None], padded[part_item[part[brief]]]].sum(1) >= least[part_item[part[brief]]]
+            where, part = where[enough], part[enough]
             pos, terms = batch.column("pos"), batch.column("term")
             off, pos, terms = pos.offsets.to_numpy(), pos.flatten().to_numpy(), terms.flatten().to_numpy()
             off = off - off[0]
-            last, sequence = -1, []
-            for p, i in zip(where.tolist(), item.tolist(), strict=True):
-                if p != last:
-                    last, d, begin = p, int(doc[p]), int(first[p]) * STRIDE
-                    own = pos[off[d] : off[d + 1]]
-                    a, b = np.searchsorted(own, [begin - STRIDE, begin + 3 * STRIDE])
+            last, sequence, found_here = None, [], set()
+            for p, k in zip(where.tolist(), part.tolist(), strict=True):
+                i, (before, after) = int(part_item[k]), part_reach[k]
+                d, begin = int(doc[p]), int(first[p]) * STRIDE
+                if last != (d, begin - before, begin + after):
+                    last = (d, begin - before, begin + after)
+                    a, b = np.searchsorted(pos[off[d] : off[d + 1]], last[1:])
                     sequence = terms[off[d] + a : off[d] + b].tolist()
                     found_here = set(sequence)
                 n = sizes[i]
+                if is_long[i] and sum(masks[i][t].bit_count() for t in found_here if t in masks[i]) < least[i]:
+                    continue
                 share = common_subsequence(masks[i], n, sequence) / n
                 answer = sum(1 for x in answers[i] if x in found_here) / len(answers[i]) if answers[i] else 1.0
                 if share >= VERBATIM or share >= PARAPHRASE and answer >= ANSWER:
-                    out.append({"doc_id": batch.column("doc_id")[d].as_py(), "item_id": ids[i], "cosine": float(cos[p, i]), "common": share, "answer": answer})
+                    out.append({"doc_id": batch.column("doc_id")[d].as_py(), "item_id": ids[i], "cosine": float(cos[p, k]), "common": share, "answer": answer})
         yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), *((c, pa.float64()) for c in ("cosine", "common", "answer"))]))
 
     found = compact.mapInArrow(search, schema)

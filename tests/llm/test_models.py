@@ -201,6 +201,37 @@ def test_decontamination_finds_planted_paraphrases(leaking):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r["doc_id"] for r in kept.collect()} == {r[0] for r in docs.select("doc_id").collect()} - {d for d, _ in got}
 
 
+def test_decontamination_finds_long_items(spark):
+    rnd = random.Random(8)
+    vocab = ["w%d" % k for k in range(6000)]
+    draw = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    items = [(i, " ".join(draw(n - 5)) + ". " + " ".join(draw(5)) + ".") for i, n in enumerate([40, 64, 65, 100, 180, 230, 320, 700, 1500])]
+    rows, want = [], set()
+    for k, (i, text) in enumerate(items * 4):
+        ws, planted = draw(rnd.randrange(100, 900)), text.split()
+        if k >= len(items):
+            planted = [w if rnd.random() > 0.15 else rnd.choice(vocab) for w in planted]
+        at = rnd.randrange(len(ws))
+        ws[at:at] = planted
+        rows.append((k, " ".join(ws)))
+        want.add((k, i))
+    # A third of an item is no leak of it.
+    rows += [(100 + i, " ".join(draw(200) + t.split()[: len(t.split()) // 3] + draw(200))) for i, t in items]
+    rows += [(200 + k, " ".join(draw(300))) for k in range(60)]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == want
+
+
+def test_decontamination_counts_terms_that_an_item_repeats(spark):
+    rnd = random.Random(3)
+    own = ["t%d" % k for k in range(12)]
+    item = ["again"] * 20 + own
+    rows = [(1, " ".join(["again"] * 20 + own[:2] + ["x%d" % k for k in range(9)] + own[-1:]))] + [(k, " ".join("v%d" % rnd.randrange(500) for _ in range(80))) for k in range(2, 80)]
+    bench = spark.createDataFrame([(7, " ".join(item[:-1]) + ". " + item[-1])], "item_id bigint, text string")
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()
+    assert [(r["doc_id"], r["item_id"], r["common"]) for r in got] == [(1, 7, round(23 / 32, 4))]
+
+
 def test_decontamination_empty(leaking):
     docs, bench, _ = leaking
     assert decontaminate.leaks(docs.where("false"), bench).count() == 0
