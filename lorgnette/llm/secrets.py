@@ -3,7 +3,9 @@
 For each kind of credential a prefix tree of labelled examples is generalised by state merging: states whose outgoing
 symbol and end frequencies agree within the Hoeffding bound are merged, the most visited first and each with the state it
 resembles most, into a deterministic probabilistic automaton. Every run of credential characters in every text is a
-candidate. Its score is its log-likelihood under the likeliest format (automaton and the examples' lengths) less that under
+candidate, and so is every stretch of it from sign to sign, up to twice as long as the longest example, as credentials are
+glued to names (``API_KEY=...``, ``?key=...``); of those that overlap one is reported, of a length that examples have if
+there is one, then of the best score. A candidate's score is its log-likelihood under the likeliest format (automaton and the examples' lengths) less that under
 the likeliest of plain explanations: the corpus's own words (character pairs, counted over all candidates without digits),
 a number, or any letters and digits, the latter two ``RARE`` less likely; ``threshold`` nats or more are reported.
 
@@ -15,6 +17,7 @@ Defined results: null and empty texts have no candidates; repeated secrets are r
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 import string
@@ -172,6 +175,43 @@ def candidate_runs(column: pa.Array, min_length: int):
     return data, symbols, off, start[ok], end[ok]
 
 
+def stretches(data: np.ndarray, start: np.ndarray, end: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, and the parts of them of ``least`` to ``most`` characters that begin after and end before a sign."""
+    if not len(start):
+        return start, end
+    sign = np.zeros(256, bool)
+    sign[[ord(c) for c in "_-+/=."]] = True
+    is_sign = np.append(sign[data], True)
+    inside = np.zeros(len(data) + 1, np.int32)
+    np.add.at(inside, start, 1)
+    np.add.at(inside, end, -1)
+    at = np.flatnonzero(np.cumsum(inside)[:-1])
+    run = np.searchsorted(start, at, "right") - 1
+    # After an equals sign a credential may begin with a sign of its own.
+    begins = (at == start[run]) | is_sign[at - 1] & (~is_sign[at] | (data[at - 1] == ord("=")))
+    stops = is_sign[at + 1] & ~is_sign[at] | (at + 1 == end[run])
+    a, limit, b = at[begins], end[run[begins]], at[stops] + 1
+    lo, hi = np.searchsorted(b, a + least), np.searchsorted(b, np.minimum(a + most, limit), "right")
+    n = np.maximum(hi - lo, 0)
+    a, b = np.repeat(a, n), b[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+    part = ~(np.isin(a, start) & np.isin(b, end))
+    return np.concatenate([start, a[part]]), np.concatenate([end, b[part]])
+
+
+def apart(start: np.ndarray, end: np.ndarray, score: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """Positions of the stretches that overlap no better one, in order of place: those of a ``usual`` length are better than
+    others, as the first parts of a credential may score more than all of it; then those of greater score, then longer ones."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for k in np.lexsort((start, start - end, -score, ~usual)).tolist():
+        a, b = int(start[k]), int(end[k])
+        i = bisect.bisect(taken, (a, b))
+        if (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or b <= taken[i][0]):
+            taken.insert(i, (a, b))
+            out.append(k)
+    return np.array(sorted(out, key=lambda k: start[k]), np.int64)
+
+
 def digits_before(data: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((data >= 48) & (data < 58))])
 
@@ -206,8 +246,10 @@ def background(docs: DataFrame, min_length: int) -> np.ndarray:
 
 
 def scan(docs: DataFrame, examples: dict[str, list[str]] | None = None, threshold: float = THRESHOLD, min_length: int = MIN_LENGTH) -> DataFrame:
-    """(doc_id, start_byte, n_chars, format, score, masked) of every candidate that a format explains better by ``threshold``."""
-    model = docs.sparkSession.sparkContext.broadcast((Formats(examples or labelled_examples()), background(docs, min_length)))
+    """(doc_id, start_byte, n_chars, format, score, masked) of the best candidates that a format explains better by ``threshold``."""
+    examples = examples or labelled_examples()
+    most = 2 * max(len(x) for words in examples.values() for x in words)
+    model = docs.sparkSession.sparkContext.broadcast((Formats(examples), background(docs, min_length)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def search(batches):
@@ -216,20 +258,22 @@ def scan(docs: DataFrame, examples: dict[str, list[str]] | None = None, threshol
             data, symbols, off, start, end = candidate_runs(batch.column("text"), min_length)
             if not len(start):
                 continue
+            start, end = stretches(data, start, end, min_length, most)
             order = np.argsort(start - end, kind="stable")
             start, end = start[order], end[order]
             likely = formats(symbols, start, end - start)
             before = np.zeros(len(symbols), np.int64)
             before[1:] = symbols[:-1].astype(np.int64) + 1
-            before[start] = 0
             flat = np.where(symbols < 255, pairs[np.minimum(before, len(ALPHABET)), np.minimum(symbols, len(ALPHABET) - 1)], 0.0)
             prefix = np.concatenate([[0.0], np.cumsum(flat)])
+            words = pairs[0, symbols[start]] + prefix[end] - prefix[start + 1]
             digits, length = digits_before(data), end - start
             number = np.where(digits[end] - digits[start] == length, length * -math.log(10) + RARE, -np.inf)
             mixed = length * -math.log(len(ALNUM)) + RARE
-            score = likely.max(0) - np.maximum(np.maximum(prefix[end] - prefix[start], mixed), number)
+            score = likely.max(0) - np.maximum(np.maximum(words, mixed), number)
             hit = np.flatnonzero(score >= threshold)
-            hit = hit[np.argsort(start[hit])]
+            usual = np.array([n in formats.lengths[k][0] for n, k in zip(length[hit].tolist(), likely.argmax(0)[hit].tolist(), strict=True)], bool)
+            hit = hit[apart(start[hit], end[hit], score[hit], usual)]
             row = np.searchsorted(off, start[hit], "right") - 1
             text = [bytes(data[a:b]).decode() for a, b in zip(start[hit], end[hit], strict=True)]
             yield pa.RecordBatch.from_arrays(
