@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,21 @@ def test_jaccard_groups_match_brute_force(docs):
     assert len(distinct & set(found)) >= 0.9 * len(distinct)
 
 
+def test_small_sets_at_the_threshold_whose_hashes_collide(spark):
+    seen, rows, used = {}, [], 0
+    names = ["v%d" % k for k in range(6000)]
+    grams = jaccard.gram_sets(jaccard.Words(), pa.array(names), 1)
+    for name, g in zip(names, grams, strict=True):
+        seen.setdefault(int(g[0]) >> 20 & 0xFFFF, []).append(name)
+    for a, b in [x[:2] for x in seen.values() if len(x) > 1][:20]:
+        own = ["u%d" % k for k in range(used, used + 30)]
+        used += 30
+        both = [a, b, *own[:14]]
+        rows += [(2 * len(rows), " ".join(both + own[14:22])), (2 * len(rows) + 1, " ".join(both + own[22:]))]
+    got = {tuple(r["members"]) for r in jaccard.near_duplicate_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), n=1).collect()}
+    assert got == {(rows[k][0], rows[k + 1][0]) for k in range(0, len(rows), 2)} and len(got) == 20
+
+
 def test_jaccard_apply_keeps_one_of_each_group(docs):
     kept = {r["doc_id"] for r in jaccard.apply(docs).collect()}
     assert 0 in kept and 503 not in kept and {500, 501, 502, 504} <= kept
