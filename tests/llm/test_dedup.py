@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lorgnette.llm import jaccard, line_dedup, substring
+from lorgnette.llm import graph, jaccard, line_dedup, substring
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -107,6 +107,14 @@ def test_divide_skip_is_exact():
         assert got == {(a, b, n) for a in range(len(s)) for b in range(a + 1, len(s)) if (n := len(np.intersect1d(s[a], s[b]))) >= t * len(np.union1d(s[a], s[b]))}
 
 
+def test_components_take_the_rounds_they_need(spark, monkeypatch):
+    monkeypatch.setattr(graph, "ROUNDS", 1, raising=False)
+    ids = list(range(40))
+    random.Random(5).shuffle(ids)
+    edges = spark.createDataFrame(list(zip(ids[:-1], ids[1:], strict=True)) + [(50, 51)], "a bigint, b bigint")
+    assert {(r["id"], r["component"]) for r in graph.connected_components(edges).collect()} == {(i, 0) for i in ids} | {(50, 50), (51, 50)}
+
+
 def test_substring_spans_match_brute_force(docs):
     rows = {r["doc_id"]: words(r["text"]) for r in docs.collect()}
     places = {}
