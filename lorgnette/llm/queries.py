@@ -10,7 +10,7 @@ QUERIES = {
     "op2_quality_rules": lambda spark, d: quality.accepted(table(spark, d, "documents")),
     "op3_html_extraction": lambda spark, d: html.extract(table(spark, d, "pages")),
     "op4_language_id": lambda spark, d: langid.identify(table(spark, d, "documents")),
-    "op5_ngram_jaccard_join": lambda spark, d: jaccard.near_duplicate_groups(table(spark, d, "documents")),
+    "op5_ngram_jaccard_join": lambda spark, d: jaccard.near_duplicates(table(spark, d, "documents")),
     "op6_benchmark_decontamination": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op7_line_dedup": lambda spark, d: line_dedup.dedup_lines(table(spark, d, "documents")),
     "op8_substring_dedup": lambda spark, d: substring.repeated_spans(table(spark, d, "documents")),

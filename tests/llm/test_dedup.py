@@ -52,8 +52,9 @@ def sets(rows, n=3):
     return out
 
 
-def test_jaccard_groups_match_brute_force(docs):
-    s = sets(docs.collect())
+def brute_force(rows):
+    """The alike pairs of documents, and (class_id, n_links, nearest) of each that has one."""
+    s = sets(rows)
     parent = {k: k for k in s}
 
     def root(x):
@@ -62,19 +63,59 @@ def test_jaccard_groups_match_brute_force(docs):
         return x
 
     pairs = {(a, b): len(s[a] & s[b]) for a in s for b in s if a < b and len(s[a] & s[b]) >= 0.5 * len(s[a] | s[b])}
-    for a, b in pairs:
+    links, nearest = {}, {}
+    for (a, b), o in pairs.items():
         x, y = root(a), root(b)
         parent[max(x, y)] = min(x, y)
-    want = {}
-    for k in s:
-        want.setdefault(root(k), []).append(k)
-    want = {k: sorted(v) for k, v in want.items() if len(v) > 1}
-    got = {r["doc_id"]: r["members"] for r in jaccard.near_duplicate_groups(docs).collect()}
-    assert got == want
+        for k in (a, b):
+            links[k] = links.get(k, 0) + 1
+            nearest[k] = max(nearest.get(k, 0), o / len(s[a] | s[b]))
+    return s, pairs, {k: (root(k), n, round(nearest[k], 6)) for k, n in links.items()}
+
+
+def near(df, **kwargs):
+    out = jaccard.near_duplicates(df, **kwargs).collect()
+    assert len(out) == len({r["doc_id"] for r in out})
+    return {r["doc_id"]: (r["class_id"], r["n_links"], r["nearest"]) for r in out}
+
+
+@pytest.mark.parametrize("shard", [2048, 3])
+def test_jaccard_classes_match_brute_force(docs, shard, monkeypatch):
+    s, pairs, want = brute_force(docs.collect())
+    monkeypatch.setattr(jaccard, "SHARD_ROWS", shard)
+    monkeypatch.setattr(jaccard, "LEAST", min(64, shard))
+    assert near(docs) == want
     found = {(r["doc_a"], r["doc_b"]): (r["overlap"], r["jaccard"]) for r in jaccard.jaccard_join(docs).collect()}
-    assert all(pairs[p] == o and abs(x - o / len(s[p[0]] | s[p[1]])) < 1e-12 for p, (o, x) in found.items())
-    distinct = {p for p in pairs if s[p[0]] != s[p[1]] and all(s[p[0]] != s[k] for k in s if k < p[0]) and all(s[p[1]] != s[k] for k in s if k < p[1])}
-    assert len(distinct & set(found)) >= 0.9 * len(distinct)
+    first = {}
+    for k in sorted(s):
+        first.setdefault(frozenset(s[k]), k)
+    distinct = {p for p in pairs if s[p[0]] != s[p[1]] and p[0] in first.values() and p[1] in first.values()}
+    assert set(found) == distinct and all(pairs[p] == o and abs(x - o / len(s[p[0]] | s[p[1]])) < 1e-12 for p, (o, x) in found.items())
+
+
+def test_a_hot_group_of_near_copies_and_a_passage_that_many_share(spark, monkeypatch):
+    rnd = random.Random(31)
+    monkeypatch.setattr(jaccard, "SHARD_ROWS", 20)
+    monkeypatch.setattr(jaccard, "LEAST", 16)
+    draw = lambda n: ["w%d" % rnd.randrange(3000) for _ in range(n)]
+    base, passage = draw(120), draw(40)
+    texts = []
+    for i in range(400):
+        ws = list(base) if i % 3 == 0 else draw(rnd.randrange(60, 200))
+        if i % 3 == 0 and i % 2:
+            ws[rnd.randrange(120)] = "changed%d" % i
+        if i % 3 == 1:
+            ws[30:30] = passage
+        texts.append(" ".join(ws))
+    rows = [{"doc_id": i, "text": t} for i, t in enumerate(texts)]
+    _, _, want = brute_force(rows)
+    assert near(spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id bigint, text string")) == want
+
+
+def test_texts_that_share_a_doc_id(spark):
+    a, b = " ".join("a%d" % k for k in range(30)), " ".join("b%d" % k for k in range(30))
+    got = jaccard.near_duplicates(spark.createDataFrame([(1, a), (2, a), (2, b), (3, b), (3, b), (4, "c d e"), (None, a)], "doc_id bigint, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1, 1.0), (2, 1, 1, 1.0), (2, 2, 1, 1.0), (3, 2, 1, 1.0)]
 
 
 def test_small_sets_at_the_threshold_whose_hashes_collide(spark):
@@ -88,8 +129,8 @@ def test_small_sets_at_the_threshold_whose_hashes_collide(spark):
         used += 30
         both = [a, b, *own[:14]]
         rows += [(2 * len(rows), " ".join(both + own[14:22])), (2 * len(rows) + 1, " ".join(both + own[22:]))]
-    got = {tuple(r["members"]) for r in jaccard.near_duplicate_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), n=1).collect()}
-    assert got == {(rows[k][0], rows[k + 1][0]) for k in range(0, len(rows), 2)} and len(got) == 20
+    got = near(spark.createDataFrame(rows, "doc_id bigint, text string"), n=1)
+    assert {k: v[0] for k, v in got.items()} == {rows[k][0]: rows[k - k % 2][0] for k in range(40)}
 
 
 def test_jaccard_apply_keeps_one_of_each_group(docs):
@@ -104,7 +145,10 @@ def test_divide_skip_is_exact():
     s = [x for x in s if len(x)]
     for t in (0.5, 0.8):
         got = {(min(a, b), max(a, b), n) for a, b, n in jaccard.divide_skip(s, t)}
-        assert got == {(a, b, n) for a in range(len(s)) for b in range(a + 1, len(s)) if (n := len(np.intersect1d(s[a], s[b]))) >= t * len(np.union1d(s[a], s[b]))}
+        want = {(a, b, n) for a in range(len(s)) for b in range(a + 1, len(s)) if (n := len(np.intersect1d(s[a], s[b]))) >= t * len(np.union1d(s[a], s[b]))}
+        assert got == want
+        side = rng.integers(0, 2, len(s))
+        assert {(min(a, b), max(a, b), n) for a, b, n in jaccard.divide_skip(s, t, side)} == {x for x in want if side[x[0]] != side[x[1]]}
 
 
 def test_components_take_the_rounds_they_need(spark, monkeypatch):
@@ -162,6 +206,6 @@ def test_line_dedup_counts_exactly_near_the_threshold(spark):
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
-    assert jaccard.near_duplicate_groups(none).count() == jaccard.jaccard_join(none).count() == 0
+    assert jaccard.near_duplicates(none).count() == jaccard.jaccard_join(none).count() == 0
     assert substring.repeated_spans(none).count() == 0
     assert line_dedup.dedup_lines(none).count() == line_dedup.apply(none).count() == 0
