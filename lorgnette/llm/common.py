@@ -14,8 +14,8 @@ from lorgnette.sources.shared import cut, shared_folder
 __all__ = ["chunks", "column", "cut", "grouped", "mix", "runs", "shared_folder", "small", "table", "text_bytes", "word_table", "written"]
 #: A side of a join is broadcast only when its counted rows stay below this many bytes.
 BROADCAST_LIMIT = 32 << 20
-#: Bytes of text that the vectorised functions take at once.
-CHUNK = 1 << 20
+#: Bytes of text, and rows, that the vectorised functions take at once.
+CHUNK, CHUNK_ROWS = 1 << 20, 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,14 +44,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(batches, name: str, limit: int = CHUNK):
-    """Slices of the record batches that hold about ``limit`` bytes of text in the column ``name``, one row at least."""
+    """Slices of the record batches that hold about ``limit`` bytes of text in the column ``name``, one row at least and ``CHUNK_ROWS`` at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, off = text_bytes(batch.column(name))
         at = 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
+            to = min(max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1), at + CHUNK_ROWS)
             yield batch.slice(at, to - at)
             at = to
 
@@ -148,11 +148,3 @@ def grouped(batches, keys: list[str]):
 
 def column(t: pa.Table, name: str) -> np.ndarray:
     return t.column(name).to_numpy()
-
-
-def records(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-
-def lists(values: np.ndarray, off: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(values, kind))

@@ -1,5 +1,6 @@
 """Secrets, quality rules, HTML, languages, decontamination, chats and BPE against planted cases, brute force and round trips."""
 
+import math
 import random
 import re
 
@@ -92,23 +93,84 @@ def test_quality_matches_brute_force_and_rejects_junk(spark, docs):
 
     got = {r["doc_id"]: r["distance"] for r in quality.distances(docs).where("source = 's0'").collect()}
     rows = docs.where("source = 's0'").collect()
-    x = quality.statistics(pa.array([r["text"] for r in rows], pa.string()), quality.Rolling())
-    floor = np.eye(quality.P) * quality.FLOOR**2
-    rounded = np.sign(x) * np.floor(np.abs(x) * 100 + 0.5) / 100
-    q = np.quantile(rounded, [0.25, 0.5, 0.75], axis=0)
-    mu, inverse = q[1], np.diag(1 / np.maximum((q[2] - q[0]) / 1.349, quality.FLOOR) ** 2)
-    bins = lambda d: np.floor(np.log(d + 1e-9) * quality.BIN)
+    want = plain_distances(plain_statistics([r["text"] or "" for r in rows]))
+    for r, d in zip(rows, want, strict=True):
+        assert abs(got[r["doc_id"]] - d) <= 1e-3 + 1e-2 * d
+
+
+def plain_statistics(texts):
+    """The statistics sign by sign."""
+    rows = []
+    for t in texts:
+        words = re.findall(rb"[0-9a-z_\x80-\xff]+", "".join(c.lower() if c.isascii() else c for c in t).encode())
+        data = "".join(c.lower() if c.isascii() else c for c in t).encode()
+        space, letters = len(re.findall("[ \t\n\r]", t)), len(re.findall("[A-Za-z]|[^\x00-\x7f]", t))
+        n, lines = len(words), t.count("\n") + 1
+        rows.append([
+            (n, 1), (len(set(words)), 1), (sum(map(len, words)) / max(n, 1), n), (sum(len(w) ** 2 for w in words) / max(n, 1), n), ((len(t) - space - letters) / max(len(t), 1), len(t)),
+            (len(re.findall("[A-ZÀ-Þ]", t)) / max(letters, 1), letters), (-sum(data.count(b) / len(data) * math.log(data.count(b) / len(data)) for b in set(data)), len(data)), (n / lines, lines),
+        ])
+    drawn = lambda k, weight: [(r[k][0] * r[k][1] + np.median([math.floor(x[k][0] * 1e4 + 0.5) / 1e4 for x in rows]) * weight) / (r[k][1] + weight) for r in rows]
+    length, square, marks, capitals, entropy, in_line = (drawn(k, w) for k, w in ((2, 100), (3, 100), (4, 600), (5, 600), (6, 600), (7, 3)))
+    return np.array([
+        [math.log(r[0][0] + 100) for r in rows], np.log(length), [math.log(max(q - m * m, 0.1)) / 2 for m, q in zip(length, square, strict=True)], np.log(np.add(marks, 0.002)),
+        np.log(np.add(capitals, 0.002)), [math.log((r[1][0] + 100) / (r[0][0] + 100)) for r in rows], entropy, np.log(np.add(in_line, 1)),
+    ]).T
+
+
+def plain_distances(x):
+    """The robust distances of one group in memory."""
+    p = x.shape[1]
+    q = np.quantile(np.sign(x) * np.floor(np.abs(x) * 1000 + 0.5) / 1000, [0.25, 0.5, 0.75], axis=0)
+    x = (x - q[1]) / np.where(q[2] > q[0], (q[2] - q[0]) / 1.349, np.where(x.std(0) > 1e-9, x.std(0), 1))
+    bins = lambda d: np.floor(np.log(d + 1e-9) * 40)
     nth = lambda b, share: np.sort(b)[int(np.ceil(share * len(b) - 1e-9)) - 1]
-    far = lambda: np.einsum("ni,ij,nj->n", x - mu, inverse, x - mu)
-    for _ in range(quality.STEPS):
-        b = bins(far())
-        near = x[b <= nth(b, quality.H)]
-        mu, inverse = near.mean(0), np.linalg.inv(np.cov(near.T, bias=True) + floor)
-    scaled = lambda: far() / max(1.0, np.exp((nth(bins(far()), 0.5) + 0.5) / quality.BIN) / quality.chi_square(quality.P, 0.5))
-    near = x[scaled() <= quality.chi_square(quality.P, 0.025)]
-    mu, inverse = near.mean(0), np.linalg.inv(np.cov(near.T, bias=True) + floor)
-    for r, d in zip(rows, scaled(), strict=True):
-        assert abs(got[r["doc_id"]] - d) <= 1e-3 + 1e-3 * d
+
+    def far(mu, cov):
+        return np.einsum("ni,ij,nj->n", x - mu, np.linalg.inv(cov + 1e-3 * np.eye(p)), x - mu)
+
+    def step(mu, cov):
+        b = bins(far(mu, cov))
+        near = x[b <= nth(b, 0.75)]
+        cov = np.cov(near.T, bias=True)
+        return near.mean(0), cov, np.linalg.slogdet(cov + 1e-3 * np.eye(p))[1]
+
+    u = x / np.sqrt((x**2).sum(1, keepdims=True) + 1e-12)
+    found = []
+    for cov in (np.eye(p), np.corrcoef(np.tanh(x).T), u.T @ u / len(x) * p):
+        now = (np.zeros(p), cov)
+        for _ in range(2):
+            *now, det = step(*now)
+        found.append((det, now))
+    det, (mu, cov) = min(found, key=lambda f: f[0])
+    while True:
+        *new, new_det = step(mu, cov)
+        if new_det >= det - 1e-3:
+            break
+        (mu, cov), det = new, new_det
+
+    def scaled(mu, cov):
+        d = far(mu, cov)
+        return d / (np.exp((nth(bins(d), 0.5) + 0.5) / 40) / quality.chi_square(p, 0.5))
+
+    near = x[scaled(mu, cov) <= quality.chi_square(p, 0.025)]
+    return scaled(near.mean(0), np.cov(near.T, bias=True))
+
+
+def test_quality_takes_the_correlations_that_most_rows_have(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((400, quality.P)) @ rng.standard_normal((quality.P, quality.P))
+    x[:60] = x[:60] * 0.1 + 30 * rng.standard_normal(quality.P)  # a distant clump that would draw the classical estimate
+    rows = spark.createDataFrame([(i, "en", "s", *map(float, r)) for i, r in enumerate(x.round(6))], "doc_id bigint, lang string, source string, " + ", ".join(f"f{k} double" for k in range(quality.P)))
+    hint = lambda df: df
+    z = quality.scaled_statistics(rows.withColumn("g", F.lit("g")), hint)
+    mu = np.array(quality.least_determinant(z, hint, 0.75).first()["mu"])
+    zs = {r["doc_id"]: np.array([r[f"z{k}"] for k in range(quality.P)]) for r in z.collect()}
+    inner = np.array([zs[i] for i in range(60, 400)])
+    assert np.abs(mu - inner.mean(0)).max() < 0.4
+    cov = np.cov(inner.T)
+    clump = np.array([zs[i] for i in range(60)])
+    assert np.median(np.einsum("ni,ij,nj->n", clump - mu, np.linalg.inv(cov), clump - mu)) > 100
 
 
 def test_quality_small_groups(spark):
