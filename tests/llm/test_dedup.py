@@ -182,19 +182,24 @@ def test_substring_spans_match_brute_force(docs):
     assert got == covered
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_line_dedup(spark, monkeypatch, limit):
+    monkeypatch.setattr(line_dedup, "BROADCAST_LIMIT", limit)
     rows = [(i, f"Only here is text {i}\n  Everywhere \nin few" if i < 3 else f"Only here is text {i}\nEverywhere", "en", f"s{i}", 9) for i in range(12)]
-    rows += [(20, None, "en", "s1", None), (21, "", "en", "s1", 0), (22, "Everywhere\nx", "en", None, 12), (5, rows[5][1], "en", "s5", 9), (23, "\n\n", "en", "s9", 2)]
+    rows += [(20, None, "en", "s1", None), (21, "", "en", "s1", 0), (22, "Everywhere\nx", "en", None, 12), (5, rows[5][1], "en", "s5", 9), (23, "\n\n", "en", "s9", 2), (24, "Everywhere", "en", "s9", 2), (None, "Everywhere", "en", "s9", 2), (25, "Everywhere\ny", "en", "s9", 2), (26, "Everywhere\ny", "en", None, 2)]
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("h", F.lit(1)).withColumn("site", F.lit(2)).withColumn("owner", F.lit(2))
     got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
     assert got[0]["text"] == rows[0][1] and got[0]["n_removed"] == 0
     assert got[1]["text"] == "Only here is text 1\nin few" and (got[1]["n_lines"], got[1]["n_removed"]) == (3, 1)
     assert got[20]["text"] is None and got[20]["n_lines"] == 0 and got[21]["text"] == "" and got[23]["text"] == "\n\n"
-    assert got[22]["text"] == "Everywhere\nx"  # mostly such lines: a copy, which stays whole
+    assert got[22]["text"] == "x" and got[22]["n_removed"] == 1
     kept = {r["doc_id"]: r for r in line_dedup.apply(docs).collect()}
     assert set(kept) == {r[0] for r in rows} and kept[4]["text"] == "Only here is text 4" and kept[4]["n_chars"] == 19 and kept[0]["n_chars"] == 9
     assert line_dedup.apply(docs).count() == len(rows) and line_dedup.apply(docs).columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    nine = spark.createDataFrame([r for r in rows if r[0] < 9], SCHEMA)
+    assert got[24]["text"] == "" and got[None]["text"] == "Everywhere" and got[25]["text"] == got[26]["text"] == "y"
+    whole = {r["doc_id"]: r["text"] for r in line_dedup.apply(docs, keep_copies=True).collect()}
+    assert whole[25] == whole[26] == "Everywhere\ny" and whole[24] == "Everywhere" and whole[22] == "x" and whole[1] == "Only here is text 1\nin few"
+    nine = spark.createDataFrame([r for r in rows if r[0] is not None and r[0] < 9], SCHEMA)
     assert sum(r["n_removed"] for r in line_dedup.dedup_lines(nine).collect()) == 0
 
 
