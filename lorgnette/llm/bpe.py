@@ -6,7 +6,7 @@ from its ancestors alone, and prefixes that words share are encoded once. Sorted
 first, hence the trie is kept as the stack of the nodes on the present path.
 
 Defined results: a null text has null ``tokens`` and ``n_tokens`` 0; an empty text has no tokens; repeated rows are
-encoded alike, each in its row; only ``doc_id`` and ``text`` are read, so other columns may have any names.
+encoded alike, each in its row; very long texts and words are encoded whole; an empty table gives no rows; only ``doc_id`` and ``text`` are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lorgnette.llm.common import chunks
+from lorgnette.llm.common import chunks, held
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How byte-level BPE vocabularies of this family divide a text into words; every character belongs to one.
@@ -119,11 +119,11 @@ def decode(ids, v: Vocabulary) -> str:
 
 def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """(doc_id, n_tokens, tokens, round_trip): each text's tokens, and whether decoding them gives that text again."""
-    v = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(vocabulary))
+    v = held(docs.sparkSession.sparkContext, Vocabulary.read(vocabulary))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
-        vocab, split = v.value, regex.compile(pattern)
+        vocab, split = v(), regex.compile(pattern)
         known: dict[str, bytes] = {}
         for batch in chunks(batches, "text", 8 << 20):
             texts = batch.column("text").to_pylist()
@@ -151,12 +151,12 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
 
 def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, text) from (doc_id, tokens); null tokens give a null text."""
-    v = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(vocabulary))
+    v = held(encoded.sparkSession.sparkContext, Vocabulary.read(vocabulary))
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def back(batches):
         for batch in batches:
-            texts = [None if ids is None else decode(ids, v.value) for ids in batch.column("tokens").to_pylist()]
+            texts = [None if ids is None else decode(ids, v()) for ids in batch.column("tokens").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "tokens").mapInArrow(back, f"doc_id {kind}, text string")

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorgnette.sources.shared import cut, shared_folder
 
-__all__ = ["chunks", "column", "cut", "grouped", "mix", "runs", "shared_folder", "small", "table", "text_bytes", "word_table", "written"]
+__all__ = ["chunks", "column", "cut", "grouped", "held", "mix", "runs", "shared_folder", "small", "table", "text_bytes", "word_table", "written"]
 #: A side of a join is broadcast only when its counted rows stay below this many bytes.
 BROADCAST_LIMIT = 32 << 20
 #: Bytes of text, and rows, that the vectorised functions take at once.
@@ -34,6 +36,18 @@ def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_LIMIT else df
 
 
+def held(sc: SparkContext, value):
+    """A function that gives ``value`` in tasks. Classes of this package go along with it, so executors need no copy of them."""
+    shared, seen = sc.broadcast(cloudpickle.dumps(value)), []
+
+    def get():
+        if not seen:
+            seen.append(pickle.loads(shared.value))
+        return seen[0]
+
+    return get
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string array end to end, and where each row begins; a null is an empty text."""
     column = column.fill_null("").cast(pa.large_string())
@@ -43,15 +57,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def chunks(batches, name: str, limit: int = CHUNK):
-    """Slices of the record batches that hold about ``limit`` bytes of text in the column ``name``, one row at least and ``CHUNK_ROWS`` at most."""
+def chunks(batches, name: str, limit: int = CHUNK, rows: int = CHUNK_ROWS):
+    """Slices of the record batches that hold about ``limit`` bytes of text in the column ``name``, one row at least and ``rows`` at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, off = text_bytes(batch.column(name))
         at = 0
         while at < batch.num_rows:
-            to = min(max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1), at + CHUNK_ROWS)
+            to = min(max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1), at + rows)
             yield batch.slice(at, to - at)
             at = to
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorgnette.llm.common import chunks, runs, text_bytes
+from lorgnette.llm.common import chunks, held, runs, text_bytes
 
 ALPHABET = string.ascii_letters + string.digits + "_-+/=."
 MIN_LENGTH, THRESHOLD, EXAMPLES, ALPHA, FLOOR, RARE = 16, 10.0, 150, 0.05, -9.0, -5.0
@@ -249,11 +249,11 @@ def scan(docs: DataFrame, examples: dict[str, list[str]] | None = None, threshol
     """(doc_id, start_byte, n_chars, format, score, masked) of the best candidates that a format explains better by ``threshold``."""
     examples = examples or labelled_examples()
     most = 2 * max(len(x) for words in examples.values() for x in words)
-    model = docs.sparkSession.sparkContext.broadcast((Formats(examples), background(docs, min_length)))
+    model = held(docs.sparkSession.sparkContext, (Formats(examples), background(docs, min_length)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def search(batches):
-        formats, pairs = model.value
+        formats, pairs = model()
         for batch in chunks(batches, "text"):
             data, symbols, off, start, end = candidate_runs(batch.column("text"), min_length)
             if not len(start):
