@@ -5,11 +5,13 @@ its subtree, share of linked text, punctuation, tag and attribute tokens. Booste
 being content. Labels come from the pages themselves, where authors mark regions: elements in ``article`` and ``main``
 are content, those in ``nav``, ``aside``, ``footer`` and ``header`` are not; the names of these regions are hidden from
 the features, so that other pages are judged by the rest. A bounded sample of pages is trained on (``train_pages``, the
-lowest hashes of ``page_id``). Decoding goes bottom up: of a subtree all is kept, all is dropped, or, at a small price,
+lowest hashes of ``page_id``, then of ``html``). Decoding goes bottom up: of a subtree all is kept, all is dropped, or, at a small price,
 each child has its own best choice, so that no kept element stands in a dropped one or the other way round.
 
 Defined results: a null or empty page has an empty text; text outside all elements belongs to the root; unclosed and
-stray tags are repaired as browsers do for the common cases; pages without any labels leave the prior of one half; rows
+stray tags are repaired as browsers do for the common cases; a tag without an end is text; pages of any length are read
+whole, in time that is linear in it; equal elements have equal choices, and of equally good choices for a subtree dropping
+it comes first, then keeping it; an empty table gives no rows; pages without any labels leave the prior of one half; rows
 that share a ``page_id`` are each extracted. Only ``page_id`` and ``html`` are read.
 """
 
@@ -24,12 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorgnette.llm.common import held
+
 TRAIN_PAGES, TREES, DEPTH, RATE, BINS, PRICE = 300, 40, 3, 0.2, 24, 1.0
 CONTENT, OTHER = {"article", "main"}, {"nav", "aside", "footer", "header"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"p", "div", "section", "article", "main", "nav", "aside", "header", "footer", "ul", "ol", "li", "table", "tr", "td", "th", "blockquote", "pre", "form", "figure", "dl", "dt", "dd", *(f"h{k}" for k in range(1, 7)), "br", "hr", "body"}
 HIDDEN = {"script", "style", "noscript", "template", "head", "title"}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!?[?]?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</[a-zA-Z][^>]*>", re.S | re.I)
+BEGIN, STOP = re.compile(r"<(?:!--|[!?]*[a-zA-Z]|/[a-zA-Z])"), re.compile(r">|=\s*[\"']")
+RAW = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style")}
 NAME, ATTRIBUTE = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)"), re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 TAGS = ["p", "div", "a", "li", "ul", "b", "br", "h1", "h2", "span", "body", "html"]
 N_TOKENS = 8
@@ -37,41 +42,86 @@ N_FEATURES = 14 + len(TAGS) + N_TOKENS
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "parts", "tokens")
+    __slots__ = ("tag", "parent", "children", "parts", "tokens", "block")
 
     def __init__(self, tag, parent, tokens=()):
         self.tag, self.parent, self.children, self.parts, self.tokens = tag, parent, [], [], tokens
+        self.block = self if parent is None or tag in BLOCK else parent.block  # the nearest block around, itself if it is one
+
+
+def marks(page: str):
+    """(start, end) of tags, comments and raw elements, each found by going on from the one before.
+
+    A tag ends at the first ``>`` outside values in quotes; a quote that never closes is an ordinary sign, and what has no
+    end at all is text.
+    """
+    at, last = 0, {q: page.rfind(q) for q in ">\"'"}
+    while True:
+        m = BEGIN.search(page, at)
+        if not m:
+            return
+        start = m.start()
+        if m[0] == "<!--":
+            end = page.find("-->", m.end())
+            end = len(page) if end < 0 else end + 3
+        else:
+            end = m.end()
+            while True:
+                stop = STOP.search(page, end) if end <= last[">"] else None
+                if not stop:
+                    return
+                end = stop.end()
+                if stop[0] == ">":
+                    break
+                quote = page[end - 1]
+                if last[quote] >= end and m[0][1] != "/":
+                    end = page.find(quote, end) + 1
+            name = NAME.match(page, start, end)
+            if name and m[0][1] != "/" and name[1].lower() in RAW:
+                close = RAW[name[1].lower()].search(page, end)
+                end = close.end() if close else len(page)
+        yield start, end
+        at = end
 
 
 def parse(page: str) -> list[Node]:
     """The elements in document order, the root first; ``parts`` of a node are its texts and children, in order."""
     root = Node("#root", None)
     nodes, here, at = [root], root, 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            here.parts.append(page[at : m.start()])
-        at = m.end()
-        text = m[0]
-        if m[1] or text.startswith("<!") or text.startswith("<?"):
-            continue
+    is_open: dict[str, int] = {}
+
+    def closed(up: Node) -> Node:
+        """What is open once ``up`` and all in it are closed."""
+        x = here
+        while True:
+            is_open[x.tag] -= 1
+            if x is up:
+                return x.parent
+            x = x.parent
+
+    for start, end in marks(page):
+        if start > at:
+            here.parts.append(page[at:start])
+        at = end
+        text = page[start:end]
         tag = NAME.match(text)
         if not tag:
             continue
         tag = tag[1].lower()
+        if tag in RAW and text[1] != "/":
+            continue
         if text[1] == "/":
-            up = here
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                here = up.parent
+            if is_open.get(tag):
+                up = here
+                while up.tag != tag:
+                    up = up.parent
+                here = closed(up)
             continue
         if tag in BLOCK and tag != "br":
             # An open paragraph ends where a block begins, and with it whatever inline elements it holds.
-            up = here
-            while up is not root and up.tag not in BLOCK:
-                up = up.parent
+            up = here.block
             if up.tag == "p" or up.tag == tag == "li" or up.tag == tag == "tr" or up.tag == tag == "td":
-                here = up.parent
+                here = closed(up)
         words = ()
         if "=" in text:
             words = tuple(t for a in ATTRIBUTE.finditer(text) for t in re.split(r"[\s_-]+", (a[1] or a[2] or a[3] or "").lower()) if t)
@@ -81,6 +131,7 @@ def parse(page: str) -> list[Node]:
         nodes.append(node)
         if tag not in VOID and not text.endswith("/>"):
             here = node
+            is_open[tag] = is_open.get(tag, 0) + 1
     if at < len(page):
         here.parts.append(page[at:])
     return nodes
@@ -233,9 +284,8 @@ def text_of(nodes: list[Node], kept: np.ndarray) -> str:
 
 def train(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Boosted:
     """A model from the elements with labels of ``train_pages`` pages, those with the lowest hashes of ``page_id``."""
-    h = F.xxhash64("page_id")
-    lowest = pages.select(h.alias("h")).orderBy("h").limit(train_pages).agg(F.max("h").alias("m")).first()["m"]
-    sample = [] if lowest is None else pages.where(h <= lowest).select("html").limit(2 * train_pages).collect()
+    h = [F.xxhash64("page_id"), F.xxhash64("html")]
+    sample = pages.select("html", *h).toDF("html", "h", "g").orderBy("h", "g").limit(train_pages).collect()
     xs, ys = [np.zeros((0, N_FEATURES))], [np.zeros(0)]
     for r in sample:
         nodes = parse(r["html"] or "")
@@ -247,7 +297,7 @@ def train(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Boosted:
 
 def extract(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(page_id, text, n_nodes, n_kept) of every page."""
-    model = pages.sparkSession.sparkContext.broadcast(train(pages, train_pages))
+    model = held(pages.sparkSession.sparkContext, train(pages, train_pages))
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def extracted(batches):
@@ -255,7 +305,7 @@ def extract(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:
             for at in range(0, whole.num_rows, 64):
                 batch = whole.slice(at, 64)
                 trees = [parse(h or "") for h in batch.column("html").to_pylist()]
-                p = model.value(np.concatenate([features(t) for t in trees]))
+                p = model()(np.concatenate([features(t) for t in trees]))
                 ends = np.cumsum([len(t) for t in trees])
                 kept = [decode(t, p[e - len(t) : e]) for t, e in zip(trees, ends, strict=True)]
                 texts = [text_of(t, k) for t, k in zip(trees, kept, strict=True)]
