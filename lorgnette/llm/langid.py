@@ -5,7 +5,7 @@ log-probability matrix is broadcast, and each batch of texts is scored as a spar
 Every text is read whole.
 
 Defined results: a null or empty text has no n-grams and null ``predicted`` and ``margin``, and so has every row if no
-label has rows; a tie goes to the language first in the alphabet; repeated rows give repeated results; rows with a null
+label has rows; an empty table gives no rows; a tie goes to the language first in the alphabet; repeated rows give repeated results; rows with a null
 label aren't trained on but are scored. Only ``doc_id``, ``text`` and ``lang`` are read.
 """
 
@@ -21,6 +21,8 @@ from lorgnette.llm.common import chunks, mix
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 14
 ROWS_PER_LANG = 2000
+#: Texts that are counted at once.
+ROWS = 256
 
 
 def gram_counts(texts: list[str], orders=ORDERS, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -40,7 +42,11 @@ def gram_counts(texts: list[str], orders=ORDERS, buckets: int = BUCKETS) -> tupl
         keys.append((row[: len(gram)] * buckets + bucket)[inside])
     if not keys:
         return (np.zeros(0, np.int64),) * 3
-    counts = np.bincount(np.concatenate(keys), minlength=0)
+    keys = np.concatenate(keys)
+    if len(texts) * buckets > 8 * len(keys):  # mostly empty: a table of all cells would be far larger than the texts
+        at, counts = np.unique(keys, return_counts=True)
+        return at // buckets, at % buckets, counts
+    counts = np.bincount(keys)
     at = np.flatnonzero(counts)
     return at // buckets, at % buckets, counts[at]
 
@@ -58,7 +64,7 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, orders=ORDERS, bu
 
     def count(batches):
         total = np.zeros((len(langs), buckets), np.int64)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", rows=ROWS):
             which = np.array([langs.index(x) for x in batch.column("lang").to_pylist()])
             row, bucket, n = gram_counts([t.lower() for t in batch.column("text").to_pylist()], orders, buckets)
             total += np.bincount(which[row] * buckets + bucket, n, total.size).astype(np.int64).reshape(total.shape)
@@ -80,7 +86,7 @@ def identify(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, orders=ORDERS,
 
     def score(batches):
         logp = model.value
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", rows=ROWS):
             texts = [(t or "").lower() for t in batch.column("text").to_pylist()]
             row, bucket, n = gram_counts(texts, orders, buckets)
             grams = np.bincount(row, n, len(texts))
