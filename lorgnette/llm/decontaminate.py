@@ -10,30 +10,33 @@ quarter more, holds ``VERBATIM`` of the item, or ``PARAPHRASE`` of it and half o
 its last sentence. The threshold is set so that of mock paraphrases, parts with words changed in the midst of other items'
 words, 98 % would be candidates.
 
-The benchmark is a reference set of bounded size: its terms, the SVD's factors and the items are held by the driver and
-broadcast. Whatever grows with the corpus stays distributed.
+The benchmark is a stated set of queries, taken in blocks of about ``BENCHMARK_BYTES`` of text: a block's terms, its SVD's
+factors and its items are held by the driver and broadcast. Whatever grows with the corpus stays distributed.
 
 Defined results: null and empty texts have no passages; an item with no terms, null or empty, has no leaks; an empty
-benchmark or corpus gives no rows; items of equal text are all reported; rows that share a ``doc_id`` are reported once.
-Only ``doc_id`` and ``text`` (and ``item_id`` and ``text`` of the benchmark) are read.
+benchmark or corpus gives no rows; items of equal text are all reported; rows that share a ``doc_id`` are reported once, with the greatest of each figure;
+texts and items of any length are compared whole. Only ``doc_id`` and ``text`` (and ``item_id`` and ``text`` of the benchmark) are read.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorgnette.llm.common import Words, chunks, cut, small
+from lorgnette.llm.common import Words, chunks, cut, held, small
 
 STRIDE, STOP, MIN_TERMS, PART = 32, 0.05, 6, 48
 RANK, OVERSAMPLE = 96, 16
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
 BLOCK = 512
+#: Passages that are worked on at once, and bytes of benchmark text whose model a task holds.
+PASSAGES, BENCHMARK_BYTES = 8192, 4 << 20
 
 
 class Items:
@@ -127,7 +130,7 @@ def reach(n_words: int, at: int) -> tuple[int, int]:
 
 
 def surroundings(batch: pa.RecordBatch, first: np.ndarray, doc: np.ndarray, n_terms: int) -> np.ndarray:
-    """A table of which terms stand in each passage or a stride before or after it; one column more is empty."""
+    """A table of which terms stand in each of some passages, in order, or a stride before or after it; one column more is empty."""
     pos, term = batch.column("pos"), batch.column("term")
     own = np.repeat(np.arange(batch.num_rows), np.diff(pos.offsets.to_numpy()))
     block, term = pos.flatten().to_numpy() // STRIDE, term.flatten().to_numpy()
@@ -142,9 +145,17 @@ def surroundings(batch: pa.RecordBatch, first: np.ndarray, doc: np.ndarray, n_te
 
 
 def slices(batches, rows: int = 200):
+    """Slices of up to ``rows`` documents and ``PASSAGES`` passages, one document at least."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        pos = b.column("pos")
+        off = pos.offsets.to_numpy() - pos.offsets[0].as_py()
+        last = pos.flatten().to_numpy()[np.maximum(off[1:] - 1, 0)] if off[-1] else np.zeros(b.num_rows, np.int64)
+        up = np.concatenate([[0], np.cumsum(last.astype(np.int64) // STRIDE + 1)])
+        at = 0
+        while at < b.num_rows:
+            to = min(at + rows, max(at + 1, int(np.searchsorted(up, up[at] + PASSAGES, "right")) - 1))
+            yield b.slice(at, to - at)
+            at = to
 
 
 def gram_product(compact: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -233,18 +244,27 @@ def calibrated(items: list[np.ndarray], idf: np.ndarray, space: np.ndarray, late
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """(doc_id, item_id, cosine, common, answer) of every benchmark item found in a document."""
+    items = benchmark.select("item_id", "text")
+    n = math.ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / BENCHMARK_BYTES)
+    found = [leaks_of(docs, items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items, rank) for k in range(max(n, 1))]
+    best = [F.round(F.max(c), 4).alias(c) for c in ("cosine", "common", "answer")]
+    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(*best)
+
+
+def leaks_of(docs: DataFrame, benchmark: DataFrame, rank: int) -> DataFrame:
+    """What is found of a benchmark of about ``BENCHMARK_BYTES``, by passages."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
     schema = "doc_id bigint, item_id bigint, cosine double, common double, answer double"
-    # Bounded: the benchmark itself.
+    # Bounded by BENCHMARK_BYTES.
     items = Items([(r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").orderBy("item_id", "text").collect()])
     n_terms = len(items.vocabulary)
     if not n_terms:
         return spark.createDataFrame([], schema)
-    shared = sc.broadcast(items)
+    shared = held(sc, items)
 
     def frequencies(batches):
-        words, it = Words(), shared.value
+        words, it = Words(), shared()
         df, total = np.zeros(n_terms, np.int64), 0
         for batch in chunks(batches, "text"):
             h, off = words(batch.column("text"))
@@ -277,7 +297,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     chosen = sc.broadcast((informative, number.astype(np.int32)))
 
     def compacted(batches):
-        words, it = Words(), shared.value
+        words, it = Words(), shared()
         informative, number = chosen.value
         for batch in chunks(batches, "text"):
             h, off = words(batch.column("text"))
@@ -309,19 +329,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
             if not len(row):
                 continue
             r, t, w = weighted(row, term, idf, len(idf))
-            cos = unit(projected(r, t, w, space, len(first))) @ latent.T
-            where, part = np.nonzero(cos >= threshold)
+            y, where, part, cos = unit(projected(r, t, w, space, len(first))), [], [], []
+            for at in range(0, len(first), PASSAGES):
+                block = y[at : at + PASSAGES] @ latent.T
+                a, b = np.nonzero(block >= threshold)
+                where.append(a + at)
+                part.append(b)
+                cos.append(block[a, b])
+            where, part, cos = np.concatenate(where), np.concatenate(part), np.concatenate(cos)
             # A common subsequence is no longer than the item's terms that are there, which are counted first.
-            here = surroundings(batch, first, doc, len(idf))
+            some, at = np.unique(where, return_inverse=True)
             enough = is_long[part_item[part]]
             brief = np.flatnonzero(~enough)
-            enough[brief] = here[where[brief, None], padded[part_item[part[brief]]]].sum(1) >= least[part_item[part[brief]]]
-            where, part = where[enough], part[enough]
+            if len(brief):
+                here = surroundings(batch, first[some], doc[some], len(idf))
+                enough[brief] = here[at[brief, None], padded[part_item[part[brief]]]].sum(1) >= least[part_item[part[brief]]]
+            where, part, cos = where[enough], part[enough], cos[enough]
             pos, terms = batch.column("pos"), batch.column("term")
             off, pos, terms = pos.offsets.to_numpy(), pos.flatten().to_numpy(), terms.flatten().to_numpy()
             off = off - off[0]
             last, sequence, found_here = None, [], set()
-            for p, k in zip(where.tolist(), part.tolist(), strict=True):
+            for p, k, near in zip(where.tolist(), part.tolist(), cos.tolist(), strict=True):
                 i, (before, after) = int(part_item[k]), part_reach[k]
                 d, begin = int(doc[p]), int(first[p]) * STRIDE
                 if last != (d, begin - before, begin + after):
@@ -335,12 +363,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
                 share = common_subsequence(masks[i], n, sequence) / n
                 answer = sum(1 for x in answers[i] if x in found_here) / len(answers[i]) if answers[i] else 1.0
                 if share >= VERBATIM or share >= PARAPHRASE and answer >= ANSWER:
-                    out.append({"doc_id": batch.column("doc_id")[d].as_py(), "item_id": ids[i], "cosine": float(cos[p, k]), "common": share, "answer": answer})
+                    out.append({"doc_id": batch.column("doc_id")[d].as_py(), "item_id": ids[i], "cosine": near, "common": share, "answer": answer})
         yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), *((c, pa.float64()) for c in ("cosine", "common", "answer"))]))
 
-    found = compact.mapInArrow(search, schema)
-    best = [F.round(F.max(c), 4).alias(c) for c in ("cosine", "common", "answer")]
-    return found.groupBy("doc_id", "item_id").agg(*best)
+    return compact.mapInArrow(search, schema)
 
 
 def apply(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
