@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where the setting is unset, as in tests, a local one is made and set."""
+    """The folder named in ``spark.checkpoint.dir``, or that set on the context. Where neither is and Spark runs in one process,
+    as in tests, a temporary one is made and set; on a cluster, whose machines share no such folder, that is an error."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir")
     if sc.getCheckpointDir() is None:
+        if not named and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints"))
     return named or sc.getCheckpointDir()
 
