@@ -2,6 +2,10 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's docs. All but the last return the columns of documents.
+
+Defined results are those of the operators: nulls in any column, empty and very long texts are carried through; rows that
+share a ``doc_id`` stay or go together; rows alike in all columns are all kept, each stage after the first judging them
+once; an empty table gives no rows, and further columns of documents are left out by the first stage.
 """
 
 from __future__ import annotations
@@ -20,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found on many sites stay in one document only."""
-    return line_dedup.apply(docs)
+    """Lines found on many sites stay in one document only; of documents that stand twice or more the next stage keeps one, whole."""
+    return line_dedup.apply(docs, keep_copies=True)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
