@@ -16,7 +16,8 @@ but for its length; very long texts are read whole; a group of fewer than ``min_
 language, those of a language with too few with those of all languages, and where these are too few nobody is rejected
 (``distance`` is null); ties at the cut all count; equal rows are judged alike, each for itself; an empty table gives no
 rows. A statistic that is the same in most rows of a group is scaled by its standard deviation, and variances get
-``RIDGE`` of the scaled ones' added, so that no covariance is singular. Only ``doc_id``, ``lang``, ``source`` and ``text``
+``RIDGE`` of the scaled ones' added, as in the regularised estimate, so that no covariance is singular or nearly so. Only
+``doc_id``, ``lang``, ``source`` and ``text``
 are read, so other columns may have any names.
 """
 
@@ -35,7 +36,7 @@ from lorgnette.llm.common import Rolling, chunks, cut, runs, small, text_bytes,
 
 P = 8
 #: Share of the rows that the estimate rests on, what is added to variances, and rows a group needs.
-H, RIDGE, MIN_ROWS = 0.75, 1e-3, 100
+H, RIDGE, MIN_ROWS = 0.75, 0.05, 100
 #: The tail of chi-square, and how many times its radius is too far.
 TAIL, FAR = 0.025, 2.5
 #: Steps from each start; a determinant falls if its logarithm does by as much as ``FALL``.

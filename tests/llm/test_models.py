@@ -127,13 +127,13 @@ def plain_distances(x):
     nth = lambda b, share: np.sort(b)[int(np.ceil(share * len(b) - 1e-9)) - 1]
 
     def far(mu, cov):
-        return np.einsum("ni,ij,nj->n", x - mu, np.linalg.inv(cov + 1e-3 * np.eye(p)), x - mu)
+        return np.einsum("ni,ij,nj->n", x - mu, np.linalg.inv(cov + 0.05 * np.eye(p)), x - mu)
 
     def step(mu, cov):
         b = bins(far(mu, cov))
         near = x[b <= nth(b, 0.75)]
         cov = np.cov(near.T, bias=True)
-        return near.mean(0), cov, np.linalg.slogdet(cov + 1e-3 * np.eye(p))[1]
+        return near.mean(0), cov, np.linalg.slogdet(cov + 0.05 * np.eye(p))[1]
 
     u = x / np.sqrt((x**2).sum(1, keepdims=True) + 1e-12)
     found = []
