@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lorgnette.functions.vectors import cosine, dot, is_zero, norm, raw_cosine, unit, vector_sum
+from lorgnette.functions.vectors import close, cosine, dot, is_zero, norm, raw_cosine, unit, vector_sum
 from lorgnette.operators.parser import Parsed
 from lorgnette.operators.providers import Letters
 from lorgnette.sources.shared import cut
@@ -76,17 +76,23 @@ def cc2(dialogues: DataFrame, provider=Letters()) -> DataFrame:  # noqa: B008
 
 
 def best_match(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(script_id, pos, best): for each vector of ``left`` its greatest similarity to one of ``right`` in the same script, zero vectors aside."""
-    r = right.where(~is_zero("v")).select("script_id", F.col("v").alias("w"))
-    pairs = left.where(~is_zero("v")).join(r, "script_id")
-    return pairs.groupBy("script_id", "pos").agg(F.max(cosine("v", "w")).alias("best")).where("best > 0")
+    """(script_id, pos, best): for each vector of ``left`` its greatest similarity to one of ``right`` in the same script, zero vectors aside.
+
+    Norms are worked out once for a vector, not for a pair. Vectors of different lengths have no similarity.
+    """
+    normed = lambda df: df.where(~is_zero("v")).withColumn("n", norm("v"))
+    r = normed(right).select("script_id", F.col("v").alias("w"), F.col("n").alias("m"))
+    x = dot("v", "w") / (F.col("n") * F.col("m"))
+    x = F.when(F.isnan(x), F.when(close(F.col("v"), F.col("w")), 1.0).otherwise(0.0)).otherwise(x)
+    best = normed(left).join(r, "script_id").groupBy("script_id", "pos").agg(F.max(x).alias("best"))
+    return best.where("best > 0").withColumn("best", F.least("best", F.lit(1.0)))
 
 
 def cc3(dialogues: DataFrame, actions: DataFrame, provider=Letters(), first: int = 30) -> DataFrame:  # noqa: B008
-    """Frames without a column ``v`` are embedded here."""
+    """Frames without a column ``v`` are embedded here, once: what is kept in the shared folder is read by all that follows."""
     k = F.row_number().over(Window.partitionBy("script_id").orderBy("pos"))
     wanted = full(dialogues.withColumn("k", k).where(f"k <= {first}")).where(provider.has_intent(F.col("text")))
-    left, right = (x if "v" in x.columns else embedded(x, provider) for x in (wanted, full(actions)))
+    left, right = (x if "v" in x.columns else cut(embedded(x, provider).select("script_id", "pos", "v")) for x in (wanted, full(actions)))
     return best_match(left, right).groupBy("script_id").agg(F.avg("best").alias("score"))
 
 

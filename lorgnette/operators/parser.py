@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lorgnette.functions.text import clean_element, html_unescape, strip
+from lorgnette.sources.shared import cut
 
 KINDS = ("action", "dialogue", "character", "stage_direction", "scene_description", "parenthetical")
 SCENE = r"(?is)<scene>(.*?)</scene>"
@@ -31,6 +34,10 @@ class Parsed:
 
     rows: DataFrame
 
+    def kept(self) -> Parsed:
+        """The same with its rows in the shared folder, so that scripts are parsed once for all frames taken of it."""
+        return Parsed(cut(self.rows))
+
     @property
     def scripts(self) -> DataFrame:
         return self.rows.select("script_id", "parsed", "plain")
@@ -78,32 +85,44 @@ def elements_of(found: Column) -> Column:
 
     def of(raw: Column) -> Column:
         headings = F.transform(all_of(raw, tag("stage_direction")), lambda x: element(F.lit("heading"), x))
-        body = F.zip_with(all_of(raw, ELEMENT), all_of(raw, ELEMENT, 2), lambda k, x: element(F.lower(k), x))
+        named = lambda k, x: F.struct(F.lower(k).alias("kind"), F.when(F.lower(k) == "character", F.upper(clean_element(x))).otherwise(clean_element(x)).alias("content"))
+        body = F.zip_with(all_of(raw, ELEMENT), all_of(raw, ELEMENT, 2), named)
         return F.concat(F.array(F.struct(F.lit("scene").alias("kind"), F.lit("").alias("content"))), F.filter(F.concat(headings, body), lambda e: e["content"] != ""))
 
     return F.flatten(F.transform(found, of))
 
 
-def spoken(elements: Column) -> Column:
-    """(lines, actions) by a walk over the elements: who speaks, what is said, and what a parenthetical belongs to."""
-
-    def state(speaker: Column, lines: Column, actions: Column) -> Column:
-        return F.struct(speaker.alias("speaker"), lines.alias("lines"), actions.alias("actions"))
-
-    def step(at: Column, e: Column) -> Column:
-        kind, content, lines = e["kind"], e["content"], at["lines"]
-        last = F.try_element_at(lines, F.lit(-1))
-        joins = (kind == "parenthetical") & F.coalesce(last["character"] == at["speaker"], F.lit(False))
-        line = lambda who, text: F.array(F.struct(who.alias("character"), text.alias("text")))
-        beside = F.concat(F.lit("("), content, F.lit(")"))
-        speaker = F.when(kind == "scene", F.lit(None).cast("string")).when(kind == "character", F.upper(content)).otherwise(at["speaker"])
-        said = F.when((kind == "dialogue") & at["speaker"].isNotNull(), F.concat(lines, line(at["speaker"], content)))
-        said = said.when(joins, F.concat(F.slice(lines, F.lit(1), F.size(lines) - 1), line(last["character"], F.concat_ws(" ", last["text"], beside)))).otherwise(lines)
-        act = F.when(kind.isin("heading", "action", "scene_description", "stage_direction"), content).when((kind == "parenthetical") & ~joins, beside)
-        return state(speaker, said, F.when(act.isNotNull(), F.concat(at["actions"], F.array(act))).otherwise(at["actions"]))
-
-    start = state(F.lit(None).cast("string"), F.array().cast(LINES), F.array().cast(TEXTS))
-    return F.aggregate(elements, start, step)
+LINE = StructType([StructField("character", StringType()), StructField("text", StringType())])
+
+
+@F.pandas_udf(StructType([StructField("lines", ArrayType(LINE)), StructField("actions", ArrayType(StringType()))]))
+def spoken(scripts: pd.Series) -> pd.DataFrame:
+    """(lines, actions) by a walk over each script's elements: who speaks, what is said, and what a parenthetical belongs to.
+
+    What an element means depends on those before it, and an expression that carries lists along copies them at each step; so
+    this is a walk in Arrow batches, linear in the elements. Speakers' names come in capitals.
+    """
+    out = []
+    for elements in scripts:
+        speaker, lines, actions = None, [], []
+        for e in elements if elements is not None else ():
+            kind, content = e["kind"], e["content"]
+            if kind == "scene":
+                speaker = None
+            elif kind == "character":
+                speaker = content
+            elif kind == "dialogue":
+                if speaker is not None:
+                    lines.append([speaker, content])
+            elif kind == "parenthetical":
+                if lines and lines[-1][0] == speaker:
+                    lines[-1][1] = f"{lines[-1][1]} ({content})"
+                else:
+                    actions.append(f"({content})")
+            else:
+                actions.append(content)
+        out.append(([{"character": k, "text": t} for k, t in lines], actions))
+    return pd.DataFrame(out, columns=["lines", "actions"])
 
 
 def scene_texts(text: Column, found: Column, separator: str = SCENE_SEPARATOR) -> Column:

@@ -6,6 +6,8 @@ screenplays. ``Models`` runs given Python functions in Arrow batches, loaded onc
 
 from __future__ import annotations
 
+import builtins
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -32,8 +34,9 @@ class Letters:
     """Embeds a text as the counts of its 26 letters; labels go by lengths."""
 
     def embed(self, text: Column) -> Column:
-        t = F.lower(strip_tags(text))
-        return F.array(*[(F.length(t) - F.length(F.replace(t, F.lit(x), F.lit("")))).cast("double") for x in "abcdefghijklmnopqrstuvwxyz"])
+        # As an array's only element the text is cleaned once, not for each letter.
+        count = lambda t: F.array(*[(F.length(t) - F.length(F.replace(t, F.lit(x), F.lit("")))).cast("double") for x in "abcdefghijklmnopqrstuvwxyz"])
+        return F.get(F.transform(F.array(F.lower(strip_tags(text))), count), 0)
 
     def is_question(self, text: Column) -> Column:
         return label_of(F.when(F.length(prefix(text, LABEL_CHARS)) % 2 == 0, " Yes\n").otherwise("no"))
@@ -50,21 +53,25 @@ class Letters:
 
 
 class Models:
-    """``load()`` gives ``embed(list[str]) -> list[list[float]]`` and ``answer(list[str]) -> list[str]``; it runs once for each worker.
+    """``load()`` gives ``embed(list[str]) -> list[list[float]]`` and ``answer(list[str]) -> list[str]``; it runs once in each worker process.
 
     An empty text is embedded as zeros and answered by '', and so is every text of a batch that fails.
     """
 
     def __init__(self, load: Callable, dimension: int, question: str, intent: str, emotion: str, events: str, batch: int = 16):
-        self.load, self.dimension, self.batch = load, dimension, batch
+        self.load, self.dimension, self.batch, self.name = load, dimension, batch, uuid.uuid4().hex
         self.templates = {"question": question, "intent": intent, "emotion": emotion, "events": events}
 
     def _run(self, which: str, empty, kind: str):
-        load, size = self.load, self.batch
+        load, size, name = self.load, self.batch, self.name
 
         @F.pandas_udf(kind)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = getattr(load(), which)
+            # Workers outlive tasks and serve all functions of a model, which is kept where each of them finds it.
+            loaded = vars(builtins).setdefault("_loaded_models", {})
+            if name not in loaded:
+                loaded[name] = load()
+            model = getattr(loaded[name], which)
             for s in batches:
                 out = [empty] * len(s)
                 full = [i for i, t in enumerate(s) if t]

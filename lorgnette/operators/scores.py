@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from lorgnette.functions.text import python_float
 from lorgnette.operators.metrics import METRICS
+from lorgnette.sources.shared import cut
 
 META = ("movie_name", "imdb_id", "line_number", "original_script", "file")
 FAMILIES = {"DC": METRICS[0:3], "CC": METRICS[3:6], "PR": METRICS[6:8]}
@@ -109,10 +110,11 @@ def offsets(df: DataFrame, model: str, width: float = 0.3) -> DataFrame:
 def ranked(df: DataFrame, value: str, name: str) -> DataFrame:
     """(value, rank) of each distinct value, ties having the mean of their ranks.
 
-    Rows are counted by value. A range partitioning then puts smaller values in earlier partitions, so a value's rank is
-    its place within its partition after the sizes of those before; no task sees all values.
+    Rows are counted by value. A range partitioning, kept so that all that follows sees the same one, then puts smaller values
+    in earlier partitions, so a value's rank is its place within its partition after the sizes of those before; no task sees
+    all values.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).count().repartitionByRange(value).withColumn("part", F.spark_partition_id())
+    counts = cut(df.where(F.col(value).isNotNull()).groupBy(value).count().repartitionByRange(value).withColumn("part", F.spark_partition_id()))
     sizes = counts.groupBy("part").agg(F.sum("count").alias("size"))
     before = sizes.withColumn("before", F.sum("size").over(Window.orderBy("part")) - F.col("size")).drop("size")  # a row for each partition
     up = F.sum("count").over(Window.partitionBy("part").orderBy(value))

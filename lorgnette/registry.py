@@ -7,6 +7,8 @@ The tables stand in for scripts and score tables: conversations for dialogues (`
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from lorgnette.functions import text as T
 from lorgnette.functions.vectors import cosine
 from lorgnette.operators import metrics as M
 from lorgnette.operators import parser, providers, scores
-from lorgnette.sources import files
+from lorgnette.sources import files, sinks
+from lorgnette.sources.shared import shared_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -260,11 +263,28 @@ def plain(spark, d):
 
 @query(rf"SELECT doc_id AS script_id, 1 AS parsed, FALSE AS plain, 1::BIGINT AS n_scenes, 1::BIGINT AS n_actions, length({trimmed('text')}) AS n_chars FROM documents WHERE {trimmed('text')} <> ''")
 def parse_fallback(spark, d):
-    p = parser.parse(table(spark, d, "documents").select(F.col("doc_id").alias("script_id"), F.regexp_replace("text", "[<&]", "+").alias("script_segment")))
+    p = parser.parse(table(spark, d, "documents").select(F.col("doc_id").alias("script_id"), F.regexp_replace("text", "[<&]", "+").alias("script_segment"))).kept()
     n = p.scenes.groupBy("script_id").agg(F.count("*").alias("n_scenes"), F.sum(F.length("text")).alias("n_chars"))
     return p.scripts.join(n, "script_id").join(p.actions.groupBy("script_id").agg(F.count("*").alias("n_actions")), "script_id")
 
 
+@query(rf"""WITH {PLAIN}, x AS (SELECT script_id, i, unnest(regexp_extract_all(text, '(?m)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$', 1)) AS c, unnest(regexp_extract_all(text, '(?m)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$', 2)) AS t,
+  generate_subscripts(regexp_extract_all(text, '(?m)^([A-Z](?:[A-Z0-9]|[ _-])+)[:. ]+(.+)$', 1), 1) AS j FROM z)
+SELECT script_id, TRUE AS plain, (row_number() OVER (PARTITION BY script_id ORDER BY i, j) - 1)::INT AS pos, {trimmed("c")} AS character, {trimmed("t")} AS text FROM x""")
+def parse_plain_fallback(spark, d):
+    """A scene without anything in it: the plain parser takes over."""
+    s = plain(spark, d).withColumn("script_segment", F.concat(F.lit("<scene> </scene>\n\n"), F.col("script_segment")))
+    p = parser.parse(s).kept()
+    return p.dialogues.join(p.scripts.select("script_id", "plain"), "script_id")
+
+
+@query("SELECT doc_id AS script_id, CASE WHEN doc_id % 4 < 2 THEN 0 ELSE 1 END AS parsed, doc_id % 4 = 2 AS plain FROM documents")
+def parse_flags(spark, d):
+    k = F.col("doc_id") % 4
+    text = F.when(k == 1, "").when(k == 2, "<scene></scene>").when(k == 3, F.concat(F.lit("x"), F.regexp_replace("text", "[<&]", "+")))
+    return parser.parse(table(spark, d, "documents").select(F.col("doc_id").alias("script_id"), text.alias("script_segment"))).scripts
+
+
 @query("SELECT conv_id AS script_id, upper(role) AS character, list(text ORDER BY turn) AS lines FROM conversations GROUP BY 1, 2")
 def dialogues_by_character(spark, d):
     return parser.by_character(dialogues(spark, d))
@@ -338,6 +358,12 @@ def score_scripts(spark, d):
     return s.select("script_id", "regex_parsing_successful", *[F.round(m, 6).alias(m) for m in M.METRICS])
 
 
+@query("SELECT n_nationkey AS script_id, 0 AS regex_parsing_successful, " + ", ".join(f"0.0::DOUBLE AS {m}" for m in M.METRICS) + " FROM nation")
+def score_empty_scripts(spark, d):
+    text = F.when(F.col("n_nationkey") % 2 == 0, "").when(F.col("n_nationkey") % 3 == 0, " \n ")
+    return M.score(parser.parse(table(spark, d, "nation").select(F.col("n_nationkey").alias("script_id"), text.alias("script_segment"))))
+
+
 V = "SELECT label AS script_id, vec_id AS pos, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings"
 
 
@@ -456,6 +482,17 @@ def overall_correlation(spark, d):
     return scores.overall(c, ["x"], ["y"]).select(F.round("rho", 6).alias("rho"), "n")
 
 
+# The two-sided p-value by the finite sum that the t-distribution has for odd degrees of freedom, of which there are 23.
+@query(f"""WITH RECURSIVE c AS (SELECT c_nationkey, count(*)::DOUBLE AS n, round(sum(c_acctbal), 2) AS total FROM customer GROUP BY 1),
+r AS (SELECT corr(a, b) AS rho, count(*) AS n FROM (SELECT {rank_sql('n')} AS a, {rank_sql('total')} AS b FROM c)),
+a AS (SELECT rho, n, atan(abs(rho) * sqrt((n - 2) / (1 - rho * rho)) / sqrt(n - 2)) AS angle FROM r),
+k AS (SELECT 1 AS k, 1.0::DOUBLE AS factor UNION ALL SELECT k + 1, factor * (2.0 * k) / (2 * k + 1) FROM k WHERE k < 11)
+SELECT round(rho, 6) AS rho, n, round(1 - 2 / pi() * (angle + sin(angle) * sum(factor * pow(cos(angle), 2 * k - 1))), 6) AS p_value FROM a, k GROUP BY rho, n, angle""")
+def correlation_p_value(spark, d):
+    c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").cast("double").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
+    return scores.overall(c, ["n"], ["total"]).select(F.round("rho", 6).alias("rho"), "n", F.round("p_value", 6).alias("p_value"))
+
+
 @query("SELECT user_id, round(avg(abs(value - p)), 6) AS mean_step FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY 1")
 def emotion_diff(spark, d):
     return scores.sequence_diff(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value").withColumn("mean_step", F.round("mean_step", 6))
@@ -493,3 +530,118 @@ def labels_of_answers(spark, d):
     said = F.when(n % 2 == 0, "Neutral to POSITIVE").when(n % 3 == 0, "neutral, negative").when(n % 5 == 0, "Neutral.").otherwise("none")
     yes = F.when(n % 2 == 0, " Yes \n").otherwise("yes.")
     return table(spark, d, "documents").select("doc_id", F.coalesce(providers.emotion_of(said), F.lit(9)).alias("emotion"), providers.label_of(yes).alias("yes"))
+
+
+class LetterModel:
+    """What a loaded model has to offer; this one counts letters and words."""
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        return [[float(t.count(x)) for x in "aeiou"] for t in texts]
+
+    def answer(self, prompts: list[str]) -> list[str]:
+        return [{"Q": "Yes" if len(p) % 2 == 0 else "no", "I": " YES " if len(p) % 3 else "no", "E": "positive" if len(p) % 2 else "NEGATIVE", "L": "1. first event of it\n2. then another one\n3. short"}[p[0]] for p in prompts]
+
+
+@query(f"""SELECT conv_id, turn, [{", ".join(f"(length(t) - length(replace(t, '{x}', '')))::DOUBLE" for x in "aeiou")}] AS v, (length(s) + 1) % 2 = 0 AS is_question, (length(s) + 1) % 3 <> 0 AS has_intent,
+  CASE WHEN (length(s) + length(role) + 1) % 2 = 1 THEN 1 ELSE -1 END AS emotion, ['first event of it', 'then another one'] AS events
+FROM (SELECT *, regexp_replace(text, '<[^>]+>', '', 'g') AS t, substr(text, 1, 500) AS s FROM conversations) WHERE text <> ''""")
+def model_answers(spark, d):
+    m = providers.Models(LetterModel, 5, "Q{text}", "I{text}", "E{char}{text}", "L{text}")
+    c, text = table(spark, d, "conversations").where("text <> ''"), F.col("text")
+    return c.select("conv_id", "turn", m.embed(text).alias("v"), m.is_question(text).alias("is_question"), m.has_intent(text).alias("has_intent"), m.emotion(F.col("role"), text).alias("emotion"), m.events(text).alias("events"))
+
+
+# --- Files ----------------------------------------------------------------------------------------------------------
+
+
+def folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
+def as_files(df: DataFrame, key: str, order: list[str], name: str) -> str:
+    """A folder with a text file for each ``key``, of the column ``value``: its path with ``{key}`` put into ``name``."""
+    spark, path = df.sparkSession, folder(df.sparkSession)
+    df.repartition(key).sortWithinPartitions(key, *order).select("value", key).write.partitionBy(key).text(f"{path}-parts")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(f"{path}-parts")
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in (s for k in fs.listStatus(source) if k.isDirectory() for s in fs.listStatus(k.getPath()) if s.getPath().getName().endswith(".txt")):
+        to = hadoop.Path(path, name.replace("{key}", part.getPath().getParent().getName().split("=", 1)[1]))
+        fs.mkdirs(to.getParent())
+        fs.rename(part.getPath(), to)
+    fs.delete(source, True)
+    return path
+
+
+@query("""WITH c AS (SELECT *, conv_id % 5 AS f, row_number() OVER (PARTITION BY conv_id % 5 ORDER BY conv_id, turn) AS p FROM conversations)
+SELECT f::INT AS f, p AS physical_line, row_number() OVER (PARTITION BY f ORDER BY p)::INT AS line_number, CASE WHEN f <> 4 AND turn % 5 = 2 THEN 'Error_Line_' || p ELSE role END AS movie_name,
+  CASE WHEN f = 4 OR turn % 5 = 2 THEN 'N/A' ELSE 'tt' || conv_id END AS imdb_id, CASE WHEN f <> 4 AND turn % 5 = 2 THEN '' ELSE text END AS script_segment
+FROM c WHERE f = 4 OR turn % 4 <> 3""")
+def files_scripts(spark, d):
+    """Two roots, one of JSON lines with blank and broken ones, one of a JSON array."""
+    c = table(spark, d, "conversations").withColumn("f", F.col("conv_id") % 5)
+    good = F.to_json(F.struct(F.col("role").alias("movie_name"), F.concat(F.lit("tt"), F.col("conv_id").cast("string")).alias("imdb_id"), F.col("text").alias("script_segment")))
+    value = F.when(F.col("turn") % 4 == 3, " \t").when(F.col("turn") % 5 == 2, F.concat(F.lit("{broken"), F.col("role"))).otherwise(good)
+    lines = as_files(c.where("f <> 4").withColumn("value", value), "f", ["conv_id", "turn"], "deep/{key}/f{key}.jsonl")
+    items = F.to_json(F.array_sort(F.collect_list(F.struct("conv_id", "turn", F.col("role").alias("movie_name"), F.col("text").alias("response")))))
+    arrays = as_files(c.where("f = 4").groupBy("f").agg(items.alias("value")), "f", [], "f{key}.json")
+    r = files.read_scripts(spark, f" {lines} , {arrays}")
+    return r.select(F.regexp_extract("source_file", r"f(\d)\.jsonl?$", 1).cast("int").alias("f"), "physical_line", "line_number", "movie_name", "imdb_id", "script_segment")
+
+
+@query("""SELECT 's' || conv_id % 7 || '.csv' AS file, role AS movie_name, 'tt' || conv_id AS imdb_id, turn::VARCHAR AS line_number, '1' AS regex_parsing_successful, (conv_id % 10)::DOUBLE / 8 AS dc1, 0.0::DOUBLE AS pr2 FROM conversations""")
+def files_scores(spark, d):
+    """Score tables at their sources' places below two folders, read as text."""
+    place = F.concat(F.lit("/in/f"), (F.col("conv_id") % 7 % 2).cast("string"), F.lit("/s"), (F.col("conv_id") % 7).cast("string"), F.lit(".jsonl"))
+    s = table(spark, d, "conversations").select(place.alias("source_file"), F.col("role").alias("movie_name"), F.concat(F.lit("tt"), F.col("conv_id").cast("string")).alias("imdb_id"), F.col("turn").alias("line_number"), F.lit(1).alias("regex_parsing_successful"), *[((F.col("conv_id") % 10) / 8 if k == 0 else F.lit(None).cast("double")).alias(m) for k, m in enumerate(M.METRICS)])
+    path = folder(spark)
+    sinks.write_scores(s, path, "/in")
+    r = files.read_csv(spark, [f"{path}/f0", f"{path}/f1"])
+    return r.select("file", "movie_name", "imdb_id", "line_number", "regex_parsing_successful", F.col(M.METRICS[0]).cast("double").alias("dc1"), F.col(M.METRICS[-1]).cast("double").alias("pr2"))
+
+
+@query("SELECT source, round(avg(n_chars), 6) AS n_chars, round(avg(quality), 6) AS quality FROM documents JOIN labels USING (doc_id) GROUP BY 1")
+def files_averages(spark, d):
+    j = table(spark, d, "documents").select("doc_id", F.col("source").alias("file"), "n_chars").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id").drop("doc_id")
+    path = folder(spark)
+    sinks.write_averages(scores.averages(j).withColumnRenamed("file", "source"), path, "source")
+    r = files.read_csv(spark, path, "source string, n_chars double, quality double")
+    return r.select("source", F.round("n_chars", 6).alias("n_chars"), F.round("quality", 6).alias("quality"))
+
+
+@query(f"SELECT genre, count(*) AS n, round(sum(p_retailprice), 4) AS total FROM ({GENRES}) GROUP BY 1")
+def files_by_genre(spark, d):
+    path = folder(spark)
+    sinks.write_by_genre(genre_rows(spark, d), path)
+    r = spark.read.option("header", True).schema("imdb_id bigint, p_size double, p_retailprice double, genre string").csv(path)
+    return r.groupBy("genre").agg(F.count("*").alias("n"), F.round(F.sum("p_retailprice"), 4).alias("total"))
+
+
+@query("SELECT n_nationkey::VARCHAR AS imdb_id, string_split(n_name, ' ') AS genres, row_number() OVER (ORDER BY n_nationkey) - 1 AS pos FROM nation")
+def files_genres(spark, d):
+    """One JSON object with all films."""
+    path = folder(spark)
+    films = F.array_sort(F.collect_list(F.struct("n_nationkey", F.col("n_nationkey").cast("string").alias("imdb_id"), F.split("n_name", " ").alias("genres"))))
+    table(spark, d, "nation").agg(films.alias("individual_results")).write.json(path)
+    return files.read_genres(spark, path).withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("SELECT role AS movie_name, 'tt' || conv_id AS imdb_id, turn, text AS response FROM conversations")
+def files_responses(spark, d):
+    """Answers as JSON lines, their prompts from a file of films."""
+    c = table(spark, d, "conversations").select(F.col("role").alias("movie_name"), F.concat(F.lit("tt"), F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("imdb_id"), F.col("text").alias("summary"))
+    films, answers = folder(spark), folder(spark)
+    c.write.json(films)
+    sinks.write_responses(files.read_movies(spark, films).withColumnRenamed("summary", "response"), answers)
+    r = spark.read.schema("movie_name string, imdb_id string, response string").json(answers)
+    both = F.split("imdb_id", ":")
+    return r.select("movie_name", both[0].alias("imdb_id"), both[1].cast("long").alias("turn"), "response")
+
+
+@query("SELECT n_nationkey::VARCHAR AS imdb_id, 'Answer of ' || n_name AS response FROM nation WHERE n_nationkey % 3 <> 0")
+def files_cache(spark, d):
+    """Answers as texts by their ids, and those of them that a cache table takes in."""
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.when(F.col("n_nationkey") % 6 == 0, "ERROR: none").when(F.col("n_nationkey") % 3 == 0, "").otherwise(F.concat(F.lit("Answer of "), F.col("n_name"))).alias("value"))
+    texts, path = as_files(n, "id", [], "a/{key}.txt"), folder(spark)
+    sinks.add_to_cache(files.read_cache(spark, texts).withColumn("response", F.rtrim(F.col("response"), F.lit("\n"))), path)
+    return spark.read.parquet(path)

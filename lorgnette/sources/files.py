@@ -65,28 +65,50 @@ def entries_of_arrays(files: DataFrame) -> DataFrame:
     )
 
 
+#: Lines of a file that are numbered in one place.
+STRETCH = 1 << 16
+
+
+def placed(df: DataFrame, part: str, order: str, name: str) -> DataFrame:
+    """``df`` with its rows numbered from 1 in each file as ``name``, by ``part`` and then ``order``: within the part, after the
+    sizes of the parts before. No task holds more of a file than a part, but for the parts' sizes."""
+    sizes = df.groupBy(F.col("source_file").alias("_file"), F.col(part).alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy("_file").orderBy("_part")) - F.col("_n")).drop("_n")
+    n = F.row_number().over(Window.partitionBy("source_file", part).orderBy(order))
+    return df.withColumn("_at", n).join(before, (F.col("source_file") == F.col("_file")) & (F.col(part) == F.col("_part"))).withColumn(name, F.col("_before") + F.col("_at")).drop("_at", "_file", "_part", "_before")
+
+
 def numbered(entries: DataFrame) -> DataFrame:
     """With ``line_number``, the place among a file's entries that were kept, and ``script_id``."""
-    n = F.row_number().over(Window.partitionBy("source_file").orderBy("physical_line"))
-    return entries.withColumn("line_number", n).withColumn("script_id", F.concat_ws("#", "source_file", "line_number"))
+    e = placed(entries.withColumn("_stretch", F.floor(F.col("physical_line") / STRETCH)), "_stretch", "physical_line", "line_number").drop("_stretch")
+    return e.withColumn("line_number", F.col("line_number").cast("int")).withColumn("script_id", F.concat_ws("#", "source_file", "line_number"))
+
+
+def split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(source_file, at, k, value): the lines of all files below the roots, with the start of their split and their order in it."""
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl}").text(paths)
+    return raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k"), "value")
 
 
 def physical_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(source_file, physical_line, value): files are split as Spark likes, lines numbered by split and place."""
-    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl}").text(paths)
-    raw = raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k"), "value")
-    n = F.row_number().over(Window.partitionBy("source_file").orderBy("at", "k"))
-    return raw.select("source_file", n.cast("long").alias("physical_line"), "value")
+    return placed(split_lines(spark, paths), "at", "k", "physical_line").select("source_file", "physical_line", "value")
+
+
+def array_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files whose first line begins with ``[``: names out of the listing that the driver has anyway."""
+    first = split_lines(spark, paths).where("at = 0").groupBy("source_file").agg(F.min_by("value", "k").alias("value"))
+    return sorted(r["source_file"] for r in first.where("startswith(value, '[')").select("source_file").collect())
 
 
 def read_scripts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Script entries of all JSON and JSONL files below the roots. A file that begins with ``[`` is an array, any other has a JSON object on each line."""
+    """Script entries of all JSON and JSONL files below the roots. A file that begins with ``[`` is an array and read whole, any other has a JSON object on each line."""
     where = roots(paths)
-    lines = physical_lines(spark, where)
-    arrays = lines.where("physical_line = 1 AND startswith(value, '[')").select("source_file").distinct()
-    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl}").text(where, wholetext=True)
-    whole = whole.where("startswith(value, '[')").select(F.col("_metadata.file_path").alias("source_file"), "value")
-    rows = entries_of_lines(lines.join(arrays, "source_file", "left_anti")).unionByName(entries_of_arrays(whole))
+    arrays = array_files(spark, where)
+    rows = entries_of_lines(physical_lines(spark, where).where(~F.col("source_file").isin(arrays)))
+    if arrays:
+        whole = spark.read.text(arrays, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
+        rows = rows.unionByName(entries_of_arrays(whole))
     return numbered(rows)
 
 
