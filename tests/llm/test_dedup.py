@@ -159,7 +159,10 @@ def test_components_take_the_rounds_they_need(spark, monkeypatch):
     assert {(r["id"], r["component"]) for r in graph.connected_components(edges).collect()} == {(i, 0) for i in ids} | {(50, 50), (51, 50)}
 
 
-def test_substring_spans_match_brute_force(docs):
+@pytest.mark.parametrize("frequent", [(16, 64), (2, 4)])
+def test_substring_spans_match_brute_force(docs, monkeypatch, frequent):
+    monkeypatch.setattr(substring, "ONE_IN", frequent[0])
+    monkeypatch.setattr(substring, "LEAST", frequent[1])
     rows = {r["doc_id"]: words(r["text"]) for r in docs.collect()}
     places = {}
     for d in sorted(rows):
