@@ -133,6 +133,19 @@ def test_small_sets_at_the_threshold_whose_hashes_collide(spark):
     assert {k: v[0] for k, v in got.items()} == {rows[k][0]: rows[k - k % 2][0] for k in range(40)}
 
 
+def test_large_sets_that_share_nothing_in_some_parts(spark):
+    names = ["v%d" % k for k in range(12000)]
+    part = [int(g[0] >> np.uint64(40)) % 32 for g in jaccard.gram_sets(jaccard.Words(), pa.array(names), 1)]
+    inner, rows = iter([w for w, k in zip(names, part, strict=True) if k >= 4]), []
+    for k in range(24):
+        size = (300, 402, 450)[k % 3]
+        # Of each two, 2/3 of the words are shared, or all of the smaller one's are in one of twice its size.
+        both = [next(inner) for _ in range(size // 2 if k % 2 else size * 2 // 3)]
+        a, b = (["%s%dx%d" % (side, k, i) for i in range(n)] for side, n in (("p", 0 if k % 2 else size // 3), ("q", size // 2 if k % 2 else size // 3)))
+        rows += [(2 * k, " ".join(both + a)), (2 * k + 1, " ".join(b + both))]
+    assert near(spark.createDataFrame(rows, "doc_id bigint, text string"), n=1) == {i: (i - i % 2, 1, 0.5) for i in range(48)}
+
+
 def test_jaccard_apply_keeps_one_of_each_group(docs):
     kept = {r["doc_id"] for r in jaccard.apply(docs).collect()}
     assert 0 in kept and 503 not in kept and {500, 501, 502, 504} <= kept
