@@ -3,13 +3,15 @@
 import random
 import re
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lorgnette.llm import bpe, line_dedup
+from lorgnette.llm import bpe, jaccard, line_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 FOOTER = "Printed with the kind leave of the owners of this site."
@@ -103,6 +105,20 @@ def test_stages_and_run(spark, folder):
     assert whole["doc_id"].tolist() == parts["doc_id"].tolist() and whole["n_tokens"].tolist() == parts["n_tokens"].tolist()
 
 
+def test_near_duplicates_go_that_share_nothing_in_some_parts(spark):
+    reader, rows = jaccard.Words(), []
+    part = lambda ws: int(jaccard.gram_sets(reader, pa.array([" ".join(ws)]), 3)[0][0] >> np.uint64(40)) % 32
+    for k in range(10):
+        # Of 300 n-grams each, 200 are shared.
+        both = ["s%d" % k, "t%d" % k]
+        while len(both) < 202:
+            both.append(next(w for i in range(99) if part([*both[-2:], w := "w%dx%dx%d" % (k, len(both), i)]) >= 4))
+        rows += [(2 * k + j, " ".join(both + ["o%dx%dx%d" % (k, j, i) for i in range(100)]), "en", "s", 1) for j in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(0, 20, 2))
+
+
 def test_stages_on_an_empty_table(spark, folder, tmp_path):
     path = folder[0]
     docs = spark.read.parquet(f"{path}/documents.parquet").where("false")
