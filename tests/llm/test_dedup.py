@@ -198,6 +198,30 @@ def test_substring_spans_match_brute_force(docs, monkeypatch, frequent):
     assert got == covered
 
 
+def test_longest_repeats_match_brute_force(spark, docs):
+    rnd = random.Random(19)
+    texts = [["p%dx%d" % (i, k) for k in range(rnd.randrange(40))] for i in range(40)]
+    for k in range(20):
+        # Just one window of 100 or 200 words repeats.
+        both = ["r%dx%d" % (k, i) for i in range(100 * (1 + k % 2))]
+        texts[2 * k] += both
+        texts[2 * k + 1] += [*both, "end%d" % k]
+    df = spark.createDataFrame([(1000 + i, " ".join(x)) for i, x in enumerate(texts)], "doc_id bigint, text string").unionByName(docs.select("doc_id", "text"))
+    rows, places = {r["doc_id"]: words(r["text"]) for r in df.collect()}, {}
+    for d, w in rows.items():
+        for length in (100, 200, 400, 800):
+            for i in range(len(w) - length + 1 if d != 504 else 0):
+                places.setdefault(tuple(w[i : i + length]), []).append((d, i))
+    most = {}
+    for window, at in places.items():
+        for p in at if len(at) > 1 else []:
+            most[p] = max(most.get(p, 0), len(window))
+    got = [r for r in substring.repeated_spans(df).collect() if r["doc_id"] != 504]
+    assert {r["longest"] for r in got} >= {50, 100, 200}
+    for r in got:
+        assert r["longest"] == max([50, *(most.get((r["doc_id"], i), 0) for i in range(r["start_word"], r["end_word"]))])
+
+
 @pytest.mark.parametrize("limit", [32 << 20, 0])
 def test_line_dedup(spark, monkeypatch, limit):
     monkeypatch.setattr(line_dedup, "BROADCAST_LIMIT", limit)
