@@ -118,6 +118,13 @@ def test_texts_that_share_a_doc_id(spark):
     assert sorted(tuple(r) for r in got) == [(1, 1, 1, 1.0), (2, 1, 1, 1.0), (2, 2, 1, 1.0), (3, 2, 1, 1.0)]
 
 
+def test_alike_texts_that_share_a_doc_id_and_have_no_other_partner(spark):
+    a = ["a%d" % k for k in range(30)]
+    df = spark.createDataFrame([(1, " ".join(a)), (1, " ".join(a[:27] + ["x", "y", "z"])), (2, "c d e f g")], "doc_id bigint, text string")
+    assert [tuple(r) for r in jaccard.near_duplicates(df).collect()] == [(1, 1, 1, round(25 / 31, 6))] * 2
+    assert [tuple(r) for r in jaccard.jaccard_join(df).collect()] == [(1, 1, 25, 25 / 31)]
+
+
 def test_small_sets_at_the_threshold_whose_hashes_collide(spark):
     seen, rows, used = {}, [], 0
     names = ["v%d" % k for k in range(6000)]
