@@ -171,6 +171,18 @@ def test_divide_skip_is_exact():
         assert {(min(a, b), max(a, b), n) for a, b, n in jaccard.divide_skip(s, t, side)} == {x for x in want if side[x[0]] != side[x[1]]}
 
 
+def test_divide_skip_counts_and_looks_up_alike(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(jaccard, "COUNTED", 7)
+    base, passage = rng.integers(0, 1 << 50, (3, 40), dtype=np.uint64), rng.integers(0, 1 << 50, 30, dtype=np.uint64)
+    # Near copies, and sets that share a passage alone, whose long lists bring few candidates.
+    s = [np.unique(np.where(rng.random(40) < rng.random() * 0.6, rng.integers(0, 1 << 50, 40, dtype=np.uint64), base[k % 3])) for k in range(60)]
+    s += [np.unique(np.concatenate([passage, rng.integers(0, 1 << 50, 40, dtype=np.uint64), base[0][: k % 30]])) for k in range(200)]
+    got = sorted((min(a, b), max(a, b), n) for a, b, n in jaccard.divide_skip(s, 0.5))
+    want = [(a, b, n) for a in range(len(s)) for b in range(a + 1, len(s)) if (n := len(np.intersect1d(s[a], s[b]))) >= 0.5 * (len(s[a]) + len(s[b]) - n)]
+    assert got == want and len(want) > 60
+
+
 def test_components_take_the_rounds_they_need(spark, monkeypatch):
     monkeypatch.setattr(graph, "ROUNDS", 1, raising=False)
     ids = list(range(40))
