@@ -125,7 +125,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
     def encode(batches):
         vocab, split = v(), regex.compile(pattern)
         known: dict[str, bytes] = {}
-        for batch in chunks(batches, "text", 8 << 20):
+        for batch in chunks(batches, "text", 2 << 20):
             texts = batch.column("text").to_pylist()
             words = [split.findall(t) if t else [] for t in texts]
             if len(known) > KEPT_WORDS:
