@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lorgnette.functions.text import strip, unwrap
 from lorgnette.operators.metrics import METRICS
+from lorgnette.sources.shared import cut
 
 MOVIES = "movie_name string, imdb_id string, summary string"
 SCORES = ", ".join(f"{k} string" for k in ("movie_name", "imdb_id", "line_number", "regex_parsing_successful", *METRICS))
@@ -90,9 +91,14 @@ def split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k"), "value")
 
 
-def physical_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(source_file, physical_line, value): files are split as Spark likes, lines numbered by split and place."""
-    return placed(split_lines(spark, paths), "at", "k", "physical_line").select("source_file", "physical_line", "value")
+def physical_lines(spark: SparkSession, paths: list[str], leave: list[str] = ()) -> DataFrame:
+    """(source_file, physical_line, value) of all files but those of ``leave``: files are split as Spark likes, lines numbered by split and place.
+
+    Where splits begin depends on the sizes of all files that a scan reads, and a filter on names changes these. So lines are
+    kept in the shared folder before they are counted and numbered, and both see the same splits.
+    """
+    lines = cut(split_lines(spark, paths).where(~F.col("source_file").isin(list(leave))))
+    return placed(lines, "at", "k", "physical_line").select("source_file", "physical_line", "value")
 
 
 def array_files(spark: SparkSession, paths: list[str]) -> list[str]:
@@ -105,7 +111,7 @@ def read_scripts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Script entries of all JSON and JSONL files below the roots. A file that begins with ``[`` is an array and read whole, any other has a JSON object on each line."""
     where = roots(paths)
     arrays = array_files(spark, where)
-    rows = entries_of_lines(physical_lines(spark, where).where(~F.col("source_file").isin(arrays)))
+    rows = entries_of_lines(physical_lines(spark, where, arrays))
     if arrays:
         whole = spark.read.text(arrays, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
         rows = rows.unionByName(entries_of_arrays(whole))
