@@ -1,7 +1,11 @@
 """What only shows on larger inputs, made to show on small ones."""
 
 import json
+import math
 
+import numpy as np
+
+from lorgnette.operators import metrics as M
 from lorgnette.sources import files
 
 
@@ -16,3 +20,30 @@ def test_lines_of_files_in_several_splits_beside_an_array(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted(map(tuple, got)) == sorted([("b", 1, 1)] + [(f"m{k}", k + 1, k + 1) for k in range(2000)])
+
+
+def test_best_matches_over_shards(spark, monkeypatch):
+    """All pairs of scripts cut into shards, against a loop; vectors of other lengths, zeros, nulls and NaN among them."""
+    monkeypatch.setattr(M, "SHARD", 7)
+    rng = np.random.default_rng(3)
+    rows = [(s, k, rng.normal(size=3 + k % 2).tolist()) for s, n in (("a", 60), ("b", 9), ("c", 1)) for k in range(n)]
+    rows += [("a", 60, [0.0, 0.0, 0.0]), ("a", 61, [1.0, None, 2.0]), ("b", 9, [math.nan, 1.0, 1.0]), ("b", 10, [math.nan, 1.0, 1.0]), ("a", 62, None), (None, 1, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "script_id string, pos int, v array<double>")
+    left, right = df.where("pos % 3 = 0 OR pos = 10"), df.where("pos % 3 <> 0 OR pos = 9")
+
+    def alike(x, y):
+        if len(x) != len(y) or None in x or None in y:
+            return -1.0
+        x, y = np.array(x), np.array(y)
+        if np.isnan(x).any() or np.isnan(y).any():
+            return float(all(np.isnan(b) or abs(a - b) <= 1e-6 + 1e-5 * abs(b) for a, b in zip(x, y, strict=True)))
+        return float(x @ y / np.linalg.norm(x) / np.linalg.norm(y))
+
+    full = lambda d: [r for r in d.collect() if r["script_id"] and r["v"] and any(x for x in r["v"])]
+    want = {}
+    for a in full(left):
+        best = max([alike(a["v"], b["v"]) for b in full(right) if b["script_id"] == a["script_id"]], default=0)
+        if best > 0:
+            want[a["script_id"], a["pos"]] = min(best, 1.0)
+    got = {(r["script_id"], r["pos"]): r["best"] for r in M.best_match(left, right).collect()}
+    assert got.keys() == want.keys() and len(got) > 15 and all(abs(got[k] - want[k]) < 1e-12 for k in got)
