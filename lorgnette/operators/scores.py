@@ -14,6 +14,8 @@ from lorgnette.operators.metrics import METRICS
 from lorgnette.sources.shared import cut
 
 META = ("movie_name", "imdb_id", "line_number", "original_script", "file")
+#: Groups of which a table is broadcast.
+FEW = 100_000
 FAMILIES = {"DC": METRICS[0:3], "CC": METRICS[3:6], "PR": METRICS[6:8]}
 
 
@@ -65,17 +67,37 @@ def row_mean(metrics: list[str]) -> Column:
 
 
 def box(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """What a box plot shows: quartiles, the farthest values within 1.5 interquartile ranges, outliers counted, the mean."""
-    q = df.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg(value).alias("mean"), F.count("*").alias("n"))
-    lo, hi = F.col("q")[0] - 1.5 * (F.col("q")[2] - F.col("q")[0]), F.col("q")[2] + 1.5 * (F.col("q")[2] - F.col("q")[0])
-    d = df.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(value).alias("_v"))
-    same = [F.col(f"_{k}").eqNullSafe(q[k]) for k in keys]
-    inside = F.col("_v").between(lo, hi)
+    """What a box plot shows: quartiles, the farthest values within 1.5 interquartile ranges, outliers counted, the mean.
+
+    Rows are counted by value and values put in order by a range partitioning that is kept, as for ranks, so no task holds all values of a group.
+    """
+    counts = df.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    mine = [f"_{k}" for k in keys]
+    counts = cut(counts.repartitionByRange(*mine, "_v").withColumn("_part", F.spark_partition_id()))
+    same = lambda a, b: [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b, strict=True)]
+    sizes = counts.groupBy(*[F.col(k).alias(f"{k}_") for k in mine], F.col("_part").alias("_part_")).agg(F.sum("_n").alias("_size"), F.sum(F.col("_v") * F.col("_n")).alias("_sum"))
+    whole = Window.partitionBy(*[f"{k}_" for k in mine])
+    # A row for each group and partition.
+    sizes = sizes.withColumn("_before", F.sum("_size").over(whole.orderBy("_part_")) - F.col("_size")).withColumn("n", F.sum("_size").over(whole)).withColumn("mean", F.sum("_sum").over(whole) / F.col("n"))
+    up = F.sum("_n").over(Window.partitionBy(*mine, "_part").orderBy("_v"))
+    r = counts.withColumn("_up", up).join(sizes, [F.col("_part") == F.col("_part_"), *same(mine, [f"{k}_" for k in mine])])
+    r = r.withColumn("_to", F.col("_before") + F.col("_up")).withColumn("_from", F.col("_to") - F.col("_n"))
+    at = lambda k: F.max(F.when((F.col("_from") <= k) & (k < F.col("_to")), F.col("_v").cast("double")))
+    ends = []
+    for k, p in enumerate((0.25, 0.5, 0.75)):
+        place = (F.col("n") - 1) * p
+        ends += [at(F.floor(place)).alias(f"_lo{k}"), at(F.ceil(place)).alias(f"_hi{k}")]
+    q = r.groupBy(*mine, "n", "mean").agg(*ends)
+    between = lambda k, p: ((lambda x: F.when(F.col(f"_lo{k}") == F.col(f"_hi{k}"), F.col(f"_lo{k}")).otherwise((F.ceil(x) - x) * F.col(f"_lo{k}") + (x - F.floor(x)) * F.col(f"_hi{k}")))((F.col("n") - 1) * p))
+    q = cut(q.select(*[F.col(f"_{k}").alias(k) for k in keys], "n", "mean", between(0, 0.25).alias("q1"), between(1, 0.5).alias("median"), between(2, 0.75).alias("q3")))
+    wide = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = F.col("_v").between(F.col("q1") - wide, F.col("q3") + wide)
+    few = F.broadcast(q) if q.count() <= FEW else q
     return (
-        q.join(d, same)
-        .groupBy(*keys, "q", "mean", "n")
-        .agg(F.min(F.when(inside, F.col("_v"))).alias("low"), F.max(F.when(inside, F.col("_v"))).alias("high"), F.count_if(~inside & ~F.isnan("_v")).alias("n_outliers"))
-        .select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "low", "high", "mean", "n", "n_outliers")
+        counts.join(few, same(mine, keys))
+        .groupBy(*keys, "q1", "median", "q3", "mean", "n")
+        .agg(F.min(F.when(inside, F.col("_v"))).alias("low"), F.max(F.when(inside, F.col("_v"))).alias("high"), F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_outliers"))
+        .select(*keys, "q1", "median", "q3", "low", "high", "mean", "n", "n_outliers")
     )
 
 

@@ -4,8 +4,10 @@ import json
 import math
 
 import numpy as np
+import pandas as pd
 
 from lorgnette.operators import metrics as M
+from lorgnette.operators import scores as S
 from lorgnette.sources import files
 
 
@@ -47,3 +49,21 @@ def test_best_matches_over_shards(spark, monkeypatch):
             want[a["script_id"], a["pos"]] = min(best, 1.0)
     got = {(r["script_id"], r["pos"]): r["best"] for r in M.best_match(left, right).collect()}
     assert got.keys() == want.keys() and len(got) > 15 and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_quartiles_of_groups_over_several_partitions(spark):
+    """Values are ranked over partitions in order, so no task aggregates all values of a group."""
+    rng = np.random.default_rng(5)
+    df = pd.DataFrame({"g": np.where(rng.random(4000) < 0.9, "x", None), "v": np.round(rng.normal(size=4000) ** 3, 2)})
+    df.loc[7, "g"], df.loc[7, "v"] = "one", 4.5
+    sdf = spark.createDataFrame(df.astype(object).where(df.notna(), None).values.tolist() + [["x", math.nan], ["x", None]], "g string, v double")
+    b = S.box(sdf, ["g"], "v")
+    assert "percentile" not in b._jdf.queryExecution().toString()
+    got = {r["g"]: r for r in b.collect()}
+    assert set(got) == {"x", None, "one"}
+    for g, r in got.items():
+        v = df.v[df.g.isna() if g is None else df.g == g].to_numpy()
+        q1, median, q3 = np.quantile(v, [0.25, 0.5, 0.75])
+        inside = (v >= q1 - 1.5 * (q3 - q1)) & (v <= q3 + 1.5 * (q3 - q1))
+        assert np.allclose([r["q1"], r["median"], r["q3"], r["mean"], r["low"], r["high"]], [q1, median, q3, v.mean(), v[inside].min(), v[inside].max()], atol=1e-9)
+        assert (r["n"], r["n_outliers"]) == (len(v), int((~inside).sum()))
