@@ -5,8 +5,10 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from lorgnette.operators import metrics as M
+from lorgnette.operators import parser
 from lorgnette.operators import scores as S
 from lorgnette.sources import files
 
@@ -51,6 +53,19 @@ def test_best_matches_over_shards(spark, monkeypatch):
     assert got.keys() == want.keys() and len(got) > 15 and all(abs(got[k] - want[k]) < 1e-12 for k in got)
 
 
+def test_only_marks_of_elements_go_through_python(spark):
+    """Texts of elements stay out of the walk, so its memory doesn't grow with them."""
+    text = "<scene><character>Ann</character><dialogue>" + "long " * 1000 + "</dialogue><parenthetical>softly</parenthetical><action>Runs.</action></scene>"
+    df = spark.createDataFrame([(k, text * (k % 3 + 1) if k else None) for k in range(9)], "script_id int, script_segment string")
+    marks = df.select(parser.marks_of(parser.elements_of(parser.all_of(F.col("script_segment"), parser.SCENE))).alias("m")).where("m IS NOT NULL").collect()
+    assert {tuple(r["m"]) for r in marks} == {("s", "=ANN", "d", "p", "a") * k for k in (1, 2, 3)}
+    p = parser.parse(df)
+    got = p.dialogues.groupBy("script_id").agg(F.count("*").alias("n"), F.min("text").alias("text"), F.max("text").alias("most")).collect()
+    said = ("long " * 1000).strip() + " (softly)"
+    assert sorted((r["script_id"], r["n"]) for r in got) == [(k, k % 3 + 1) for k in range(1, 9)] and all(r["text"] == r["most"] == said for r in got)
+    assert [tuple(r) for r in p.actions.where("script_id = 2").collect()] == [(2, 0, "Runs.")]
+
+
 def test_quartiles_of_groups_over_several_partitions(spark):
     """Values are ranked over partitions in order, so no task aggregates all values of a group."""
     rng = np.random.default_rng(5)
